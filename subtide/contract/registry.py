@@ -8,29 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from subtide.operators.rows import duplicate_keys, row_counts, with_lineage
 from subtide.plans import marts, quality, silver
-from subtide.plans.staging import staging_tables
-from subtide.schemas import EVENT_KEY
-from subtide.sources.star_schema import AS_OF, INGESTED_AT, raw_tables
+from subtide.plans.staging import stage, staging_tables
+from subtide.schemas import EVENT_KEY, TABLES
+from subtide.sources.star_schema import AS_OF, INGESTED_AT, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _raw(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(raw_tables(spark, sf_dir)[name])
+    return lambda spark, sf_dir: build(raw_table(spark, sf_dir, name))
 
 
 def _staged(build: Callable[..., DataFrame], *names: str, **options) -> Query:
     """A query over staging tables, passed to ``build`` in the given order."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = staging_tables(silver.silver_tables(raw_tables(spark, sf_dir)))
-        return build(*[staged[name] for name in names], **options)
+        clean = [silver.SILVER[name](raw_table(spark, sf_dir, name)) for name in names]
+        return build(*map(stage, names, clean), **options)
 
     return run
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> dict[str, Mapping[str, DataFrame]]:
-    raw = raw_tables(spark, sf_dir)
-    bronze = {name: with_lineage(df, name, INGESTED_AT) for name, df in raw.items()}
+    bronze = {name: with_lineage(raw_table(spark, sf_dir, name), name, INGESTED_AT) for name in TABLES}
     clean = silver.silver_tables(bronze)
     return {"bronze": bronze, "silver": clean, "gold": marts.mart_tables(staging_tables(clean), AS_OF)}
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,6 +52,11 @@ def as_number(name: str, kind: str) -> Column:
     return F.col(name).try_cast(kind)
 
 
+def present(*names: str) -> Column:
+    """All columns are set. Unlike ``dropna`` this reaches the Parquet scan."""
+    return reduce(and_, [F.col(name).isNotNull() for name in names])
+
+
 def week_of(ts: Column) -> Column:
     """Midnight of the Monday that starts the week."""
     return F.trunc(F.to_date(ts), "week").cast(NTZ)

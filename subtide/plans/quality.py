@@ -1,7 +1,7 @@
 """Data-quality checks as one DataFrame: (check, table, column, failing_rows, passed).
 
-Row rules of a table are counted together in one aggregation; only uniqueness
-needs a shuffle, on counts that are combined before it.
+Each table is read once. Row rules are one aggregation; uniqueness adds a shuffle
+of counts that are combined before it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.operators.rows import duplicate_keys, stack
+from subtide.operators.rows import stack
 from subtide.schemas import EVENT_KEY, MARTS, PAYMENT_STATUSES, SUBSCRIPTION_STATUSES, TABLES, UNKNOWN
 
 # The rules of each table.
@@ -58,9 +58,24 @@ def _row_rules(table: str) -> list[tuple[str, str, Column]]:
     ]
 
 
-def check_rows(table: str, df: DataFrame) -> DataFrame:
+def check_table(table: str, df: DataFrame) -> DataFrame:
+    """All rules of one table from one pass over it.
+
+    Where keys must be unique, the failures of the row rules are counted per key
+    along with the copies, and then summed up.
+    """
     rules = _row_rules(table)
-    counted = df.agg(*[F.count_if(failing).alias(f"n{i}") for i, (_, _, failing) in enumerate(rules)])
+    keys = UNIQUE.get(table, ())
+    failing = [F.count_if(condition).alias(f"n{i}") for i, (_, _, condition) in enumerate(rules)]
+    labels = [(check, column) for check, column, _ in rules]
+    if keys:
+        repeated = F.count_if((F.col("copies") > 1) & F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)))
+        per_key = df.groupBy(*keys).agg(F.count("*").alias("copies"), *failing)
+        totals = [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(rules))]
+        counted = per_key.agg(*totals, repeated.alias(f"n{len(rules)}"))
+        labels.append(("unique", ", ".join(keys)))
+    else:
+        counted = df.agg(*failing)
     results = F.array(*[
         F.struct(
             F.lit(check).alias("check"),
@@ -68,24 +83,11 @@ def check_rows(table: str, df: DataFrame) -> DataFrame:
             F.lit(column).alias("column"),
             F.col(f"n{i}").alias("failing_rows"),
         )
-        for i, (check, column, _) in enumerate(rules)
+        for i, (check, column) in enumerate(labels)
     ])
     return counted.select(F.inline(results))
 
 
-def check_unique(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        duplicate_keys(df.dropna(subset=list(keys)), keys)
-        .agg(F.count("*").alias("failing_rows"))
-        .select(
-            F.lit("unique").alias("check"),
-            F.lit(table).alias("table"),
-            F.lit(", ".join(keys)).alias("column"),
-            "failing_rows",
-        )
-    )
-
-
 def check_fewer_rows(table: str, df: DataFrame, before: DataFrame) -> DataFrame:
     """Fails unless ``df`` has fewer rows than ``before``."""
     both = stack([
@@ -110,8 +112,7 @@ def dq_checks(tables: Mapping[str, DataFrame], expected: Sequence[str] = EXPECTE
     """All checks that apply to the given tables, named ``<layer>_<table>`` or ``mart_<name>``."""
     spark = next(iter(tables.values())).sparkSession
     found = [check_tables_exist(spark, tables, expected)]
-    found += [check_rows(name, df) for name, df in tables.items() if _row_rules(name)]
-    found += [check_unique(name, tables[name], keys) for name, keys in UNIQUE.items() if name in tables]
+    found += [check_table(name, df) for name, df in tables.items() if name in UNIQUE or _row_rules(name)]
     if {"bronze_content_events", "silver_content_events"} <= set(tables):
         found.append(
             check_fewer_rows(

@@ -17,6 +17,7 @@ from subtide.functions.scalars import (
     known_label,
     label_or_none,
     lower_label,
+    present,
     upper_label,
 )
 from subtide.operators.rows import keep_first
@@ -39,7 +40,7 @@ def silver_users(bronze: DataFrame) -> DataFrame:
         upper_label("country").alias("country"),
         lower_label("acquisition_channel").alias("acquisition_channel"),
         lower_label("device_preference").alias("device_preference"),
-    ).dropna(subset=["user_id", "signup_ts"])
+    ).filter(present("user_id", "signup_ts"))
 
 
 def silver_subscriptions(bronze: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def silver_subscriptions(bronze: DataFrame) -> DataFrame:
         as_timestamp("end_ts").alias("end_ts"),
         known_label("status", SUBSCRIPTION_STATUSES).alias("status"),
         as_number("auto_renew_flag", "boolean").alias("auto_renew_flag"),
-    ).dropna(subset=["subscription_id", "user_id"])
+    ).filter(present("subscription_id", "user_id"))
 
 
 def silver_payments(bronze: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def silver_payments(bronze: DataFrame) -> DataFrame:
         "currency",
         lower_label("payment_status").alias("payment_status"),
         label_or_none("failure_reason").alias("failure_reason"),
-    ).dropna(subset=["payment_id", "payment_ts"])
+    ).filter(present("payment_id", "payment_ts"))
 
 
 def typed_events(bronze: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def typed_events(bronze: DataFrame) -> DataFrame:
             lower_label("device_type").alias("device_type"),
             lower_label("category").alias("category"),
         )
-        .dropna(subset=["user_id", "event_ts"])
+        .filter(present("user_id", "event_ts"))
         .filter(F.col("watch_seconds") > 0)
     )
 
@@ -104,7 +105,7 @@ def silver_support_cases(bronze: DataFrame) -> DataFrame:
         as_timestamp("case_ts").alias("case_ts"),
         lower_label("issue_type").alias("issue_type"),
         known_label("resolution_status", RESOLUTION_STATUSES).alias("resolution_status"),
-    ).dropna(subset=["case_id"])
+    ).filter(present("case_id"))
 
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {

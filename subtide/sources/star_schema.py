@@ -7,11 +7,24 @@ keys, unreadable timestamps, repeated events). Rules are listed in FIXTURES.md.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.schemas import RAW_SCHEMAS
 
+# The columns used, so that no read has to look up a schema first.
+_SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
 AS_OF = "2024-02-15"
 INGESTED_AT = "2024-02-15 06:00:00"
 
@@ -22,9 +35,12 @@ def _pick(index: str, *values: str) -> str:
     return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
 
 
+_DAYS = ", ".join(f"'{dt.date(2024, 1, 1) + dt.timedelta(n)} 00:00:00'" for n in range(60))
+
+
 def _day(number: str) -> str:
-    """SQL for the text timestamp that many days into 2024."""
-    return f"CAST(TIMESTAMP_NTZ '2024-01-01 00:00:00' + INTERVAL '1' DAY * CAST({number} AS INT) AS STRING)"
+    """SQL for the text timestamp that many days (under 60) into 2024."""
+    return f"array({_DAYS})[CAST({number} AS INT)]"
 
 
 def _select(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
@@ -36,19 +52,18 @@ def _select(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
 PLAN_IDS = ("plan_free", "plan_basic", "plan_standard", "plan_premium", "plan_annual")
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    plans = _select(table("region"), "plans", {
+def _plans(table: Callable[[str], DataFrame]) -> DataFrame:
+    return _select(table("region"), "plans", {
         "plan_id": _pick("r_regionkey", *PLAN_IDS),
         "plan_name": "concat(' ', r_name, ' ')",
         "billing_cycle": "CASE r_regionkey WHEN 0 THEN 'Trial' WHEN 4 THEN ' YEARLY' ELSE 'monthly' END",
         "list_price": "r_regionkey * 5 - 0.01",
     })
 
+
+def _users(table: Callable[[str], DataFrame]) -> DataFrame:
     customers = table("customer").join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    users = _select(customers, "users", {
+    return _select(customers, "users", {
         "user_id": "CASE WHEN c_custkey % 97 <> 96 THEN c_custkey END",
         "signup_ts": (
             "CASE WHEN c_custkey % 89 = 88 THEN NULL WHEN c_custkey % 83 = 82 THEN 'not a date' "
@@ -59,8 +74,9 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "device_preference": _pick("c_custkey % 4", "Mobile", "desktop", "tablet ", "smart_tv"),
     })
 
-    orders = table("orders")
-    subscriptions = _select(orders, "subscriptions", {
+
+def _subscriptions(table: Callable[[str], DataFrame]) -> DataFrame:
+    return _select(table("orders"), "subscriptions", {
         "subscription_id": "o_orderkey",
         "user_id": "CASE WHEN o_orderkey % 101 <> 100 THEN o_custkey END",
         "plan_id": f"CASE WHEN o_orderkey % 109 <> 108 THEN {_pick('o_orderkey % 5', *PLAN_IDS)} END",
@@ -74,12 +90,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "auto_renew_flag": "o_orderkey % 2 = 0",
     })
 
+
+def _payments(table: Callable[[str], DataFrame]) -> DataFrame:
     lines = table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_extendedprice").alias("price"),
-        (F.max("l_returnflag") == "R").alias("returned"),
+        F.max(F.col("l_returnflag") == "R").alias("returned"),
     )
     failed = "returned AND l_linenumber % 2 = 1"
-    payments = _select(lines, "payments", {
+    return _select(lines, "payments", {
         "payment_id": "concat(l_orderkey, '-', l_linenumber)",
         "subscription_id": "CASE WHEN l_orderkey % 107 <> 106 THEN l_orderkey END",
         "payment_ts": (
@@ -92,8 +110,11 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "failure_reason": f"CASE WHEN {failed} AND l_linenumber <> 5 THEN ' Card_Expired' END",
     })
 
-    # A twentieth of the events arrives twice, the copy with other case and, for
-    # some, a shorter watch. A third of the users stopped watching early.
+
+def _content_events(table: Callable[[str], DataFrame]) -> DataFrame:
+    """A twentieth of the events arrives twice, the copy with other case and, for
+    some, a shorter watch. A third of the users stopped watching early.
+    """
     viewed = table("events").withColumns({
         "viewer": F.expr("user_id * 10 + event_id % 7"),
         "copy": F.expr("explode(CASE WHEN event_id % 20 = 0 THEN array(0, 1) ELSE array(0) END)"),
@@ -102,7 +123,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "WHEN 'purchase' THEN 'complete' WHEN 'signup' THEN 'seek' ELSE 'stop' END"
         ),
     })
-    content_events = _select(viewed, "content_events", {
+    return _select(viewed, "content_events", {
         "user_id": "CASE WHEN event_id % 211 <> 210 THEN viewer END",
         "content_id": "concat('content_', event_id % 200)",
         "event_ts": (
@@ -116,8 +137,10 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "category": _pick("event_id % 3", "Drama", " kids", "sports"),
     })
 
-    urgent = orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
-    support_cases = _select(urgent, "support_cases", {
+
+def _support_cases(table: Callable[[str], DataFrame]) -> DataFrame:
+    urgent = table("orders").filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
+    return _select(urgent, "support_cases", {
         "case_id": "o_orderkey",
         "user_id": "o_custkey",
         "case_ts": _day("o_orderkey % 45"),
@@ -127,11 +150,19 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
     })
 
-    return {
-        "plans": plans,
-        "users": users,
-        "subscriptions": subscriptions,
-        "payments": payments,
-        "content_events": content_events,
-        "support_cases": support_cases,
-    }
+
+_BUILDERS = {
+    "plans": _plans,
+    "users": _users,
+    "subscriptions": _subscriptions,
+    "payments": _payments,
+    "content_events": _content_events,
+    "support_cases": _support_cases,
+}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    def table(source: str) -> DataFrame:
+        return spark.read.schema(_SOURCES[source]).parquet(f"{sf_dir}/{source}.parquet")
+
+    return _BUILDERS[name](table)

@@ -1,0 +1,148 @@
+"""Cleaning rules of the silver tables on hand-made rows."""
+
+from pyspark.sql import types as T
+
+from tests.helpers import case, event, payment, raw, silver, subscription, ts, user
+
+
+def test_types_and_columns(spark):
+    tables = {
+        "plans": silver(spark, "plans"),
+        "users": silver(spark, "users"),
+        "subscriptions": silver(spark, "subscriptions"),
+        "payments": silver(spark, "payments"),
+        "content_events": silver(spark, "content_events"),
+        "support_cases": silver(spark, "support_cases"),
+    }
+    types = {f"{t}.{f.name}": f.dataType for t, df in tables.items() for f in df.schema.fields}
+    assert types["plans.list_price"] == T.DoubleType()
+    assert types["users.signup_ts"] == T.TimestampNTZType()
+    assert types["subscriptions.auto_renew_flag"] == T.BooleanType()
+    assert types["payments.amount"] == T.DoubleType()
+    assert types["content_events.watch_seconds"] == T.IntegerType()
+    assert types["support_cases.case_ts"] == T.TimestampNTZType()
+
+
+def test_plans_are_normalised_and_bad_price_is_null(spark):
+    rows = silver(
+        spark, "plans",
+        {"plan_id": "plan_basic", "plan_name": "  Basic ", "billing_cycle": "MONTHLY", "list_price": "9.99"},
+        {"plan_id": "plan_odd", "plan_name": "Odd", "billing_cycle": " yearly", "list_price": "n/a"},
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        ("plan_basic", "basic", "monthly", 9.99),
+        ("plan_odd", "odd", "yearly", None),
+    ]
+
+
+def test_users_need_id_and_readable_signup(spark):
+    df = silver(
+        spark, "users",
+        user("u1", country=" us ", acquisition_channel=" Organic", device_preference="Smart_TV "),
+        user(None), user("u2", signup_ts=None), user("u3", signup_ts="bad"), user("u4", signup_ts="2024"),
+    )
+    assert [tuple(r) for r in df.collect()] == [
+        ("u1", ts("2024-01-01 00:00:00"), "US", "organic", "smart_tv"),
+    ]
+
+
+def test_subscription_status_and_unreadable_start(spark):
+    rows = silver(
+        spark, "subscriptions",
+        subscription("s1", status=None), subscription("s2", status="Paused"), subscription("s3", status=" ACTIVE "),
+        subscription("s4", start="bad", auto_renew_flag="False"), subscription("s5", auto_renew_flag="maybe"),
+        subscription(None), subscription("s6", user=None),
+    ).collect()
+    found = {r.subscription_id: r for r in rows}
+    assert set(found) == {"s1", "s2", "s3", "s4", "s5"}
+    assert [found[s].status for s in ("s1", "s2", "s3")] == ["unknown", "unknown", "active"]
+    assert found["s4"].start_ts is None and found["s4"].auto_renew_flag is False
+    assert found["s5"].auto_renew_flag is None
+
+
+def test_payment_reason_and_currency(spark):
+    rows = silver(
+        spark, "payments",
+        payment("p1", "2024-01-01 00:00:00", " Failed", failure_reason=None, currency=" usd"),
+        payment("p2", "2024-01-01 00:00:00", "failed", failure_reason="   "),
+        payment("p3", "2024-01-01 00:00:00", "SUCCESS ", failure_reason=" Card_Expired", amount="x"),
+        payment("p4", "bad", "failed"), payment(None, "2024-01-01 00:00:00", "failed"),
+    ).collect()
+    assert {r.payment_id: (r.payment_status, r.failure_reason, r.currency, r.amount) for r in rows} == {
+        "p1": ("failed", "none", " usd", 9.99),
+        "p2": ("failed", "", "USD", 9.99),
+        "p3": ("success", "card_expired", "USD", None),
+    }
+
+
+def test_labels_are_normalised_before_deduplication(spark):
+    df = silver(spark, "content_events", event(kind="play"), event(kind=" Play"))
+    assert [r.event_type for r in df.collect()] == ["play"]
+
+
+def test_longest_watch_survives_on_every_run(spark):
+    copies = [event(seconds=s, device_type=d) for s, d in [(5, "a"), (90, "c"), (90, "b"), (30, "a")]]
+    for rows in (copies, copies[::-1]):
+        kept = silver(spark, "content_events", *rows).repartition(3).collect()
+        assert [(r.watch_seconds, r.device_type) for r in kept] == [(90, "b")]
+
+
+def test_invalid_events_are_dropped(spark):
+    df = silver(
+        spark, "content_events",
+        event(at="bad"), event(user=None), event(seconds=0), event(seconds=-4), event(seconds=None),
+        event(seconds="many"), event(at=None), event(content="kept", category=" Kids "),
+        event(content=None, at="2024-01-02 00:00:00.5"),
+    )
+    assert sorted((r.content_id or "", r.category, r.event_ts) for r in df.collect()) == [
+        ("", "drama", ts("2024-01-02 00:00:00.500000")),
+        ("kept", "kids", ts("2024-01-01 10:00:00")),
+    ]
+
+
+def test_lone_deduplication_keeps_null_keys_together(spark):
+    df = silver(spark, "content_events", event(content=None), event(content=None), event(kind=None))
+    assert df.count() == 2
+
+
+def test_support_cases(spark):
+    rows = silver(
+        spark, "support_cases",
+        case("k1", resolution_status="reopened"), case("k2", resolution_status=None),
+        case("k3", resolution_status=" Pending", issue_type="Billing_Issue "), case(None),
+        case("k4", uid=None, case_ts="bad"),
+    ).collect()
+    assert {r.case_id: (r.user_id, r.issue_type, r.resolution_status) for r in rows} == {
+        "k1": ("u1", "billing_issue", "unknown"),
+        "k2": ("u1", "billing_issue", "unknown"),
+        "k3": ("u1", "billing_issue", "pending"),
+        "k4": (None, "billing_issue", "resolved"),
+    }
+
+
+def test_only_spaces_are_trimmed(spark):
+    df = silver(spark, "support_cases", case("k1", issue_type="\tBilling "))
+    assert df.first().issue_type == "\tbilling"
+
+
+def test_lineage_columns_are_dropped(spark):
+    from subtide.operators.rows import with_lineage
+    from subtide.plans.silver import silver_plans
+
+    bronze = with_lineage(raw(spark, "plans", {"plan_id": "p"}), "plans.csv", "2024-02-15 06:00:00")
+    assert bronze.first()._ingested_at == ts("2024-02-15 06:00:00")
+    assert silver_plans(bronze).columns == ["plan_id", "plan_name", "billing_cycle", "list_price"]
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    from subtide.plans.marts import weekly_activity
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # A wall-clock time that this zone skips.
+        df = silver(spark, "content_events", event(at="2024-03-10 02:30:00"))
+        assert df.first().event_ts == ts("2024-03-10 02:30:00")
+        assert weekly_activity(df).first().week_start == ts("2024-03-04 00:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
