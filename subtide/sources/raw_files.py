@@ -35,12 +35,8 @@ def read_json_records(
         return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
     body = F.ltrim(F.col("value"), F.lit(" \t\r\n[],﻿"))
     record = F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"})
-    return (
-        spark.read.text(path, lineSep="}")
-        .filter(body != "")
-        .select(record.alias("record"))
-        .select("record.*")
-    )
+    # Generated columns keep each object to one parse, whatever filters follow.
+    return spark.read.text(path, lineSep="}").filter(body != "").select(F.inline(F.array(record)))
 
 
 def read_raw(spark: SparkSession, folder: str, name: str, multiline: bool = False) -> DataFrame:
