@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 _TAG = "_key_tag"
 
 
-def join_to_one(many: DataFrame, one: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join any number of rows per key to an aggregate with one row per key.
-
-    An aggregate passes its own hash partitioning on to the join, and adaptive
-    execution splits a hot key only where both inputs of a join are plain
-    shuffles. Joining on the keys plus their hash makes Spark shuffle the
-    aggregate once more: it is the small side, and in exchange a key with a third
-    of all rows on the other side is read by many tasks. A side that turns out
-    small enough is still broadcast by the session's own size check.
+def hash_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join on the hash of the keys and the keys.
+
+    Two things come with the hash as first join column:
+
+    * Adaptive execution splits a hot key only where both inputs of a join are
+      plain shuffles, but an aggregate on the keys would pass its own partitioning
+      on to the join. With the hash among the join columns Spark shuffles the
+      aggregate once more: it is the small side, and in exchange a key with a third
+      of all rows on the other side is read by many tasks.
+    * The sorts of a merge join compare hashes instead of long ids with a common
+      beginning.
+
+    A side that turns out small enough is still broadcast by the session's own
+    size check.
     """
     tag = F.xxhash64(*keys)
-    return (
-        many.withColumn(_TAG, tag)
-        .join(one.withColumn(_TAG, tag), [*keys, _TAG], how)
-        .drop(_TAG)
-    )
+    return left.withColumn(_TAG, tag).join(right.withColumn(_TAG, tag), [_TAG, *keys], how).drop(_TAG)
 
 
 def left_join_from(
@@ -36,11 +38,11 @@ def left_join_from(
     can be split, and the left rows without a partner are those that start after
     their key's latest right start.
     """
-    pairs = left.join(right, key).filter(F.col(right_start) >= F.col(left_start))
+    pairs = hash_join(left, right, [key], "inner").filter(F.col(right_start) >= F.col(left_start))
 
     latest = right.groupBy(key).agg(F.max(right_start).alias("_latest"))
     has_partner = F.coalesce(F.col("_latest") >= F.col(left_start), F.lit(False))
-    alone = join_to_one(left, latest, [key]).filter(~has_partner).drop("_latest")
+    alone = hash_join(left, latest, [key]).filter(~has_partner).drop("_latest")
     return pairs.unionByName(alone, allowMissingColumns=True)
 
 
@@ -59,30 +61,26 @@ def first_within_days(
       exactly if that period's last opening is;
     * older openings are too old.
 
-    So one row per key and period decides about each hit, and each hit meets at
-    most one such row.
+    So the first and last opening of each key and period decide, and each hit
+    meets at most two rows.
     """
     def period(ts: str) -> Column:
-        return F.floor(F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")) / days)
+        return F.floor(F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")) / days).alias("period")
 
-    never = F.lit(None).cast("timestamp_ntz")
-    reach = F.array(
-        F.struct(period(opened_at).alias("period"), F.col(opened_at).alias("after"), never.alias("until")),
-        F.struct(
-            (period(opened_at) + 1).alias("period"),
-            never.alias("after"),
-            (F.col(opened_at) + F.make_dt_interval(F.lit(days))).alias("until"),
-        ),
-    )
-    windows = (
+    extremes = (
         opens.filter(F.col(key).isNotNull())
-        .select(key, F.inline(reach))
-        .groupBy(key, "period")
-        .agg(F.min("after").alias("after"), F.max("until").alias("until"))
+        .groupBy(key, period(opened_at))
+        .agg(F.min(opened_at).alias("first"), F.max(opened_at).alias("last"))
     )
-    candidates = hits.filter(F.col(key).isNotNull()).select(key, period(hit_at).alias("period"), hit_at)
+    never = F.lit(None).cast("timestamp_ntz")
+    until = F.col("last") + F.make_dt_interval(F.lit(days))
+    windows = extremes.select(key, F.inline(F.array(
+        F.struct("period", F.col("first").alias("after"), never.alias("until")),
+        F.struct((F.col("period") + 1).alias("period"), never.alias("after"), until.alias("until")),
+    )))
+    candidates = hits.filter(F.col(key).isNotNull()).select(key, period(hit_at), hit_at)
     return (
-        join_to_one(candidates, windows, [key, "period"], "inner")
+        hash_join(candidates, windows, [key, "period"], "inner")
         .filter((F.col(hit_at) > F.col("after")) | (F.col(hit_at) <= F.col("until")))
         .groupBy(key)
         .agg(F.min(hit_at).alias(out))

@@ -20,7 +20,7 @@ from subtide.functions.scalars import (
     to_hours,
     week_of,
 )
-from subtide.operators.joins import first_within_days, join_to_one, left_join_from
+from subtide.operators.joins import first_within_days, hash_join, left_join_from
 from subtide.operators.rows import stack
 from subtide.schemas import FREE_PLAN
 
@@ -98,7 +98,7 @@ def mart_retention(events: DataFrame, subscriptions: DataFrame, plans: DataFrame
     columns for users with none, so sums over the mart count such users twice.
     """
     activity = user_month_activity(events)
-    return activity.join(user_active_plans(subscriptions, plans), "user_id", "left").select(
+    return hash_join(activity, user_active_plans(subscriptions, plans), ["user_id"]).select(
         "user_id",
         "activity_month",
         "device_type",
@@ -136,7 +136,7 @@ def mart_payment_failures(payments: DataFrame) -> DataFrame:
     the subscription shows it, also with negative days or more than 7.
     """
     recovered_at = F.col("recovered_at")
-    return join_to_one(failures(payments), payment_recoveries(payments), ["subscription_id"]).select(
+    return hash_join(failures(payments), payment_recoveries(payments), ["subscription_id"]).select(
         "payment_id",
         "subscription_id",
         "failed_at",
@@ -161,7 +161,7 @@ def _failed_per_owner(payments: DataFrame, subscriptions: DataFrame) -> DataFram
         .groupBy("subscription_id")
         .agg(F.count("*").alias("failed"))
     )
-    return join_to_one(subscriptions.select("subscription_id", "user_id"), failed, ["subscription_id"], "inner")
+    return hash_join(subscriptions.select("subscription_id", "user_id"), failed, ["subscription_id"], "inner")
 
 
 def failed_payments_by_user(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def mart_churn_risk(
     inactive = days_between(F.to_date("last_event_ts"), date_or_today(as_of))
     signals = user_signals(events, payments, subscriptions, support_cases)
     scored = (
-        join_to_one(users.select("user_id", "country", "channel"), signals, ["user_id"])
+        hash_join(users.select("user_id", "country", "channel"), signals, ["user_id"])
         .select(
             "user_id",
             "country",

@@ -44,9 +44,13 @@ def _day(number: str) -> str:
 
 
 def _select(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(sql).cast("string").alias(col) for col, sql in columns.items()]).select(
-        *RAW_SCHEMAS[name].names
-    )
+    """The raw table as text columns.
+
+    They leave a generator, so silver's expressions and filters do not repeat the
+    ones here; on stored raw tables they are plain columns.
+    """
+    row = F.struct(*[F.expr(columns[c]).cast("string").alias(c) for c in RAW_SCHEMAS[name].names])
+    return df.select(F.inline(F.array(row)))
 
 
 PLAN_IDS = ("plan_free", "plan_basic", "plan_standard", "plan_premium", "plan_annual")

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from subtide.operators.joins import first_within_days, join_to_one, left_join_from
+from subtide.operators.joins import first_within_days, hash_join, left_join_from
 from subtide.operators.rows import keep_first
 from subtide.plans import marts, silver
 from subtide.schemas import EVENT_KEY, RAW_SCHEMAS
@@ -109,11 +109,11 @@ def hot(spark, n):
     ).repartition(8)
 
 
-def test_join_to_one_splits_a_hot_key(spark, conf):
+def test_hash_join_splits_a_hot_key(spark, conf):
     shuffled(conf)
     many = hot(spark, 20000)
     one = many.groupBy("k").agg(F.count("*").alias("n"))
-    df = join_to_one(many, one, ["k"])
+    df = hash_join(many, one, ["k"])
     assert "skew=true" in final_plan(df)
     assert df.filter("k = 'hot'").agg(F.count("*"), F.min("n")).first() == (6667, 6667)
     assert df.count() == 20000
