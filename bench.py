@@ -1,17 +1,22 @@
-"""Times the marts and silver events; prints one JSON line.
+"""Times the marts, silver events and the whole flow; prints one JSON line.
 
 BENCH_SF_DIR names the folder of input tables, BENCH_CPUS the local cores. Each
 query is written to Spark's no-op sink once to warm up, then three times; the
-median counts.
+median counts. The flow reads raw CSV and JSON files, made from the same tables
+beforehand, and writes all layers and exports.
 """
 
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from subtide.contract.registry import QUERIES
+from subtide.plans import medallion
+from subtide.schemas import RAW_FILES
 from subtide.session import local_session
+from subtide.sources.star_schema import AS_OF, raw_table
 
 HEADLINE = (
     "silver_content_events",
@@ -24,10 +29,23 @@ HEADLINE = (
 )
 
 
-def timed(query, spark, sf_dir):
-    start = time.perf_counter()
-    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+def median_seconds(run, times=3):
+    run()
+    taken = []
+    for _ in range(times):
+        start = time.perf_counter()
+        run()
+        taken.append(time.perf_counter() - start)
+    return round(statistics.median(taken), 3)
+
+
+def write_extracts(spark, sf_dir, folder):
+    for name, file in RAW_FILES.items():
+        writer = raw_table(spark, sf_dir, name).write
+        if file.endswith(".json"):
+            writer.json(f"{folder}/{file}", ignoreNullFields=False)
+        else:
+            writer.csv(f"{folder}/{file}", header=True)
 
 
 def main():
@@ -35,10 +53,17 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "4")
     spark = local_session(cpus, "subtide-bench", **{"spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
-    for name in HEADLINE:
-        timed(QUERIES[name], spark, sf_dir)
-        seconds[name] = round(statistics.median(timed(QUERIES[name], spark, sf_dir) for _ in range(3)), 3)
+    seconds = {
+        name: median_seconds(
+            lambda: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        )
+        for name in HEADLINE
+    }
+    folder = tempfile.mkdtemp(prefix="subtide-bench-")
+    write_extracts(spark, sf_dir, f"{folder}/raw")
+    seconds["whole_flow"] = median_seconds(
+        lambda: medallion.build_all(spark, f"{folder}/raw", f"{folder}/lake", AS_OF, exports=f"{folder}/out")
+    )
     print(json.dumps({
         "metric": "headline queries, sum of medians",
         "value": round(sum(seconds.values()), 3),

@@ -7,6 +7,7 @@ finished tables and no plan grows over more than one layer.
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,7 @@ from subtide.plans.quality import dq_checks
 from subtide.plans.silver import silver_tables
 from subtide.plans.staging import create_staging_views, staging_tables
 from subtide.schemas import MARTS, RAW_SCHEMAS, TABLES
-from subtide.sinks.writers import export_csv, write_events, write_table
+from subtide.sinks.writers import export_csv, run_together, write_events, write_table
 from subtide.sources.layers import existing_tables, read_layer
 from subtide.sources.raw_files import bronze_tables
 
@@ -26,16 +27,16 @@ LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
 def build_bronze(
     spark: SparkSession, raw: str, base: str, ingested_at: str | dt.datetime | None = None
 ) -> None:
-    for name, df in bronze_tables(spark, raw, ingested_at).items():
-        write_table(df, base, "bronze", name)
+    bronze = bronze_tables(spark, raw, ingested_at)
+    run_together(partial(write_table, df, base, "bronze", name) for name, df in bronze.items())
 
 
 def build_silver(spark: SparkSession, base: str) -> None:
-    for name, df in silver_tables(read_layer(spark, base, "bronze", TABLES)).items():
-        if name == "content_events":
-            write_events(df, base, "silver", name)
-        else:
-            write_table(df, base, "silver", name)
+    silver = silver_tables(read_layer(spark, base, "bronze", TABLES))
+    run_together(
+        partial(write_events if name == "content_events" else write_table, df, base, "silver", name)
+        for name, df in silver.items()
+    )
 
 
 def silver_layer(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -47,9 +48,8 @@ def silver_layer(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def build_gold(spark: SparkSession, base: str, as_of: str | dt.date | None = None) -> None:
-    staged = staging_tables(silver_layer(spark, base))
-    for name, df in mart_tables(staged, as_of).items():
-        write_table(df, base, "gold", name)
+    marts = mart_tables(staging_tables(silver_layer(spark, base)), as_of)
+    run_together(partial(write_table, df, base, "gold", name) for name, df in marts.items())
 
 
 def export_layers(spark: SparkSession, base: str, folder: str) -> None:

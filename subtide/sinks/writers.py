@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,13 @@ from subtide.sources.layers import table_path
 EVENT_DATE = "event_date"
 
 
+def run_together(writes: Iterable[Callable[[], None]]) -> None:
+    """Start independent writes at once, so small tables fill the gaps of large ones."""
+    with ThreadPoolExecutor() as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
+
+
 def write_table(df: DataFrame, base: str, layer: str, name: str) -> None:
     df.write.mode("overwrite").parquet(table_path(base, layer, name))
 
@@ -31,7 +40,11 @@ def write_events(df: DataFrame, base: str, layer: str, name: str = "content_even
     )
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").csv(path, header=True)
+
+
 def export_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Each table as a folder of CSV part files with a header, written by the executors."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").csv(f"{folder.rstrip('/')}/{name}.csv", header=True)
+    folder = folder.rstrip("/")
+    run_together(partial(write_csv, df, f"{folder}/{name}.csv") for name, df in tables.items())

@@ -163,3 +163,31 @@ def test_export_keeps_column_order_and_null(spark, tmp_path):
     back = spark.read.csv(f"{tmp_path}/x.csv", header=True)
     assert back.columns == ["z", "a", "t"]
     assert back.first().a is None
+
+
+def test_events_are_gathered_by_day(spark, tmp_path):
+    """A day is one file although every input task holds rows of every day."""
+    from subtide.sinks.writers import write_events
+
+    df = spark.range(0, 400, 1, 8).selectExpr(
+        "id AS user_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(id % 5 AS INT)) AS event_ts"
+    )
+    write_events(df, str(tmp_path), "silver")
+    days = sorted((tmp_path / "silver" / "content_events").glob("event_date=*"))
+    assert [day.name for day in days] == [f"event_date=2024-01-0{d}" for d in range(1, 6)]
+    assert all(len(list(day.glob("*.parquet"))) == 1 for day in days)
+    scan = spark.read.parquet(f"{tmp_path}/silver/content_events").filter("event_date = DATE '2024-01-03'")
+    assert scan.count() == 80
+    assert "PartitionFilters: [isnotnull(event_date" in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_failed_write_is_reported(spark, tmp_path):
+    from subtide.sinks.writers import run_together
+
+    def fail():
+        raise ValueError("disk full")
+
+    written = []
+    with pytest.raises(ValueError, match="disk full"):
+        run_together([fail, lambda: written.append(1)])
+    assert written == [1]
