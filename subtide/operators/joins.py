@@ -22,8 +22,13 @@ def hash_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "le
       beginning.
 
     A side that turns out small enough is still broadcast by the session's own
-    size check.
+    size check. Equal values of different types hash differently, so the keys must
+    have the same types on both sides.
     """
+    for key in keys:
+        types = left.schema[key].dataType, right.schema[key].dataType
+        if types[0] != types[1]:
+            raise ValueError(f"join key {key} is {types[0].simpleString()} and {types[1].simpleString()}")
     tag = F.xxhash64(*keys)
     return left.withColumn(_TAG, tag).join(right.withColumn(_TAG, tag), [_TAG, *keys], how).drop(_TAG)
 

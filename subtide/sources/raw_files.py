@@ -33,7 +33,7 @@ def read_json_records(
     """
     if multiline:
         return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
-    body = F.ltrim(F.col("value"), F.lit(" \t\r\n[],﻿"))
+    body = F.ltrim(F.col("value"), F.lit(" \t\r\n[],\ufeff"))
     record = F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"})
     # Generated columns keep each object to one parse, whatever filters follow.
     return spark.read.text(path, lineSep="}").filter(body != "").select(F.inline(F.array(record)))

@@ -73,7 +73,7 @@ ROWS = [
     json.dumps(ROWS, indent=2),
     json.dumps(ROWS, indent=2).replace("\n", "\r\n") + "\r\n",
     json.dumps(ROWS, separators=(",", ":"), ensure_ascii=False),
-    "﻿" + json.dumps(ROWS),
+    "\ufeff" + json.dumps(ROWS),
     "\n".join(json.dumps(row) for row in ROWS),
     "\n".join(json.dumps(row) for row in ROWS) + "\n\n",
 ], ids=["line", "indented", "crlf", "compact", "bom", "per-line", "per-line-end"])

@@ -122,6 +122,11 @@ def test_hash_join_splits_a_hot_key(spark, conf):
     assert "skew=true" not in final_plan(plain)
 
 
+def test_hash_join_refuses_keys_of_different_types(spark):
+    with pytest.raises(ValueError, match="join key id is bigint and int"):
+        hash_join(spark.range(1), spark.range(1).selectExpr("CAST(id AS INT) AS id"), ["id"])
+
+
 def test_left_join_from_splits_a_hot_right_side(spark, conf):
     shuffled(conf)
     right = hot(spark, 20000)
