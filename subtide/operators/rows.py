@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +34,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    """Union by name, halved at each step: every union analyses all plans below it."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return stack(frames[:middle]).unionByName(stack(frames[middle:]))
 
 
 def row_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
