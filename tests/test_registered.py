@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from subtide.contract.oracle import ORACLE
+from subtide.contract.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -24,7 +26,7 @@ def as_multiset(columns, rows):
     return sorted(columns), sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     result = duck.execute(oracle_sql()[name])
@@ -35,7 +37,8 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):
