@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subtide.llm import sharding, url_rules
+from subtide.llm import byte_bpe, sharding, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> bytes:
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op1_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return token_files.token_file_digests(files)
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of texts encoded and decoded again."""
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(
+        "doc_id", byte_bpe.token_count(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=40)
 
@@ -25,6 +51,8 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simple8b_tokens": op1_simple8b_tokens,
+    "op3_segment_tree_bpe": op3_segment_tree_bpe,
     "op4_jump_shards": op4_jump_shards,
     "op10_url_rules": op10_url_rules,
 }
