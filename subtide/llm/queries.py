@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, sharding, token_files, url_rules
+from subtide.llm import byte_bpe, sharding, simhash, token_files, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op4_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rules_table(spark))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
     "op3_segment_tree_bpe": op3_segment_tree_bpe,
     "op4_jump_shards": op4_jump_shards,
+    "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
     "op10_url_rules": op10_url_rules,
 }
 
