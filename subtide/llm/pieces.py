@@ -32,7 +32,7 @@ def spans_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - counts), counts) + np.arange(total)
 
 
-class _Index(dict):
+class PieceIndex(dict):
     """Numbers pieces as they are first asked for; new holds those not encoded yet."""
 
     def __init__(self):
@@ -54,7 +54,7 @@ class PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Index()
+        self.index = PieceIndex()
         self.flat = np.empty(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, sharding, simhash, token_files, url_rules
+from subtide.llm import byte_bpe, decontaminate, sharding, simhash, token_files, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op1_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(files)
 
 
+def op2_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of texts encoded and decoded again."""
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
@@ -51,19 +56,55 @@ def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = decontaminate.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rules_table(spark))
 
 
 QUERIES: dict[str, Query] = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
+    "op2_string_kernel_toxicity": op2_string_kernel_toxicity,
     "op3_segment_tree_bpe": op3_segment_tree_bpe,
     "op4_jump_shards": op4_jump_shards,
     "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
+    "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_url_rules": op10_url_rules,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_fm_index_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM windows))
+), hits AS (
+  SELECT doc_id, i, n, item FROM places JOIN windows USING (n, phrase)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id
+), owned AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN owned USING (doc_id)
+""",
     "op10_url_rules": r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
