@@ -28,6 +28,7 @@ from subtide.llm.pieces import PieceTable, spans_of, text_slices
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 NONE = np.int32(2**31 - 1)  # no pair
 SIDE_BY_SIDE_BYTES = 64
+TABLE_ROWS = 300_000
 
 
 def explicit_spaces(pattern: str) -> str:
@@ -43,16 +44,10 @@ def explicit_spaces(pattern: str) -> str:
 
 
 class Merges:
-    """A rank file: token bytes by id, and the id that two ids merge to."""
+    """A rank file: the id of a token's bytes, and the id that two ids merge to."""
 
     def __init__(self, rank_file: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
-        self.token_ids = np.array(sorted(self.ranks.values()), dtype=np.int64)
-        size = int(self.token_ids[-1]) + 1
-        by_id = {i: t for t, i in self.ranks.items()}
-        lengths = np.array([len(by_id.get(i, b"")) for i in range(size)], dtype=np.int64)
-        self.token_starts = np.concatenate([[0], np.cumsum(lengths)])
-        self.token_bytes = np.frombuffer(b"".join(by_id.get(i, b"") for i in range(size)), dtype=np.uint8)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         get = self.ranks.get
         pairs = {
@@ -184,8 +179,8 @@ class Encoder:
     def __init__(self, rank_file: bytes, pattern: str):
         self.merges = Merges(rank_file)
         self.match = regex.compile(explicit_spaces(pattern)).findall
-        self.matches = PieceTable(self.merges.encode_pieces)
-        self.runs = PieceTable(self._encode_runs)
+        self.matches = PieceTable(self.merges.encode_pieces, TABLE_ROWS)
+        self.runs = PieceTable(self._encode_runs, TABLE_ROWS)
         edge = f"[{WHITE_SPACE}]"
         # a single space between other characters always starts a match, so a text may be
         # cut before it without changing any match
@@ -211,7 +206,7 @@ class Encoder:
         return self.runs.ids_of(list(chain.from_iterable(runs)), sizes)
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[tuple, object] = {}  # what this worker has read of rank files
 
 
 def _encoder(rank_file: bytes, pattern: str) -> Encoder:
@@ -226,43 +221,75 @@ def _binaries(data: bytes, counts: np.ndarray, width: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
+class TokenBytes:
+    """The bytes of each token, for decoding."""
+
+    def __init__(self, rank_file: bytes):
+        by_id = {int(b): base64.b64decode(a) for a, b in (line.split() for line in rank_file.splitlines() if line)}
+        tokens = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """All texts' bytes, and how many each has."""
+        if len(ids) and (ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
+            raise ValueError("an id that no token has")
+        sizes = self.lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.data[spans_of(self.starts[ids], sizes)].tobytes(), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+
+
+def _token_bytes(rank_file: bytes) -> TokenBytes:
+    key = (zlib.crc32(rank_file), None)
+    if key not in _encoders:
+        _encoders[key] = TokenBytes(rank_file)
+    return _encoders[key]
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches, "text"):
+        ids, counts = encoder.encode(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binaries(ids.astype("<u4").tobytes(), counts, 4)], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokens: TokenBytes) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches, "ids"):
+        each = batch.column("ids").fill_null(b"").to_pylist()
+        counts = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // 4
+        data, sizes = tokens.decode(np.frombuffer(b"".join(each), dtype="<u4").astype(np.int64), counts)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), _binaries(data, sizes, 1)], names=["doc_id", "ids", "decoded"])
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), dict(docs.dtypes)[key]
+
+
 def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids: little-endian unsigned 32-bit integers. Null and empty texts have none.
     One row for each row of docs, nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)  # one vocabulary file
-    kind = dict(docs.dtypes)[key]
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
-        for batch in text_slices(batches, "text"):
-            ids, counts = encoder.encode(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binaries(ids.astype("<u4").tobytes(), counts, 4)], names=["doc_id", "ids"])
-
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, f"doc_id {kind}, ids binary")
+    rows, kind = _texts(docs, key, text)
+    return rows.mapInArrow(lambda batches: _encoded(batches, _encoder(shared.value, pattern)), f"doc_id {kind}, ids binary")
 
 
 def decode_documents(encoded: DataFrame, rank_file: bytes, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """doc_id, ids, decoded: the bytes of the ids' tokens; null ids give none. Ids that no
     token has raise an error."""
     shared = encoded.sparkSession.sparkContext.broadcast(rank_file)
-    kind = dict(encoded.dtypes)[key]
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = _encoder(shared.value, "").merges
-        lengths = np.diff(merges.token_starts)
-        for batch in text_slices(batches, "ids"):
-            column = batch.column("ids").fill_null(b"")
-            counts = np.array([len(x) // 4 for x in column.to_pylist()], dtype=np.int64)
-            tokens = np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").astype(np.int64)
-            if len(tokens) and (tokens.max() >= len(lengths) or not lengths[tokens].all()):
-                raise ValueError("an id that no token has")
-            sizes = lengths[tokens]
-            data = merges.token_bytes[spans_of(merges.token_starts[tokens], sizes)].tobytes()
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            of_text = np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), _binaries(data, of_text, 1)], names=["doc_id", "ids", "decoded"])
-
-    return encoded.select(F.col(key).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(decode, f"doc_id {kind}, ids binary, decoded binary")
+    rows = encoded.select(F.col(key).alias("doc_id"), F.col(ids).alias("ids"))
+    return rows.mapInArrow(lambda batches: _decoded(batches, _token_bytes(shared.value)), f"doc_id {dict(encoded.dtypes)[key]}, ids binary, decoded binary")
+
+
+def encode_and_decode(docs: DataFrame, rank_file: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As decode_documents of encode_documents, in one pass of one Python worker a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(rank_file)
+    rows, kind = _texts(docs, key, text)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(_encoded(batches, _encoder(shared.value, pattern)), _token_bytes(shared.value))
+
+    return rows.mapInArrow(both, f"doc_id {kind}, ids binary, decoded binary")
 
 
 def token_count(ids: Column) -> Column:

@@ -36,7 +36,7 @@ def op2_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of texts encoded and decoded again."""
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = byte_bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", byte_bpe.token_count(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
