@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, decontaminate, sharding, simhash, token_files, toxicity, url_rules
+from subtide.llm import byte_bpe, decontaminate, interpolated_lm, sharding, simhash, token_files, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontaminate.hit_words(F.col("spans"))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_segment_tree_bpe": op3_segment_tree_bpe,
     "op4_jump_shards": op4_jump_shards,
     "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
+    "op6_deleted_interpolation": op6_deleted_interpolation,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_url_rules": op10_url_rules,
 }
