@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, decontaminate, interpolated_lm, sharding, simhash, token_files, toxicity, url_rules
+from subtide.llm import byte_bpe, collision_ann, decontaminate, html_extract, interpolated_lm, sharding, simhash, token_files, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,15 @@ def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op7_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return collision_ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op8_tree_model_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = decontaminate.hit_words(F.col("spans"))
@@ -80,6 +89,8 @@ QUERIES: dict[str, Query] = {
     "op4_jump_shards": op4_jump_shards,
     "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
     "op6_deleted_interpolation": op6_deleted_interpolation,
+    "op7_collision_neighbours": op7_collision_neighbours,
+    "op8_tree_model_extraction": op8_tree_model_extraction,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_url_rules": op10_url_rules,
 }
