@@ -25,17 +25,31 @@ def _widths(ids: np.ndarray) -> np.ndarray:
     return np.maximum(np.searchsorted(powers, ids, side="right"), 1).astype(np.uint8)
 
 
+def _choices(widths: np.ndarray) -> np.ndarray:
+    """For each position the selector that packs the most ids from there on; zeros fill the
+    last word. What no selector holds stays 0 and is escaped."""
+    n = len(widths)
+    widest = {1: np.concatenate([widths, np.ones(60, dtype=np.uint8)])}  # of so many ids from a position on
+    choice = np.zeros(n, dtype=np.uint8)
+    done = 1
+    for selector in range(len(SELECTORS) - 1, -1, -1):  # the later choice packs more ids
+        count, bits = SELECTORS[selector]
+        if count not in widest:
+            wide = widest[done]
+            while done < count:
+                more = max(c for c in widest if c <= count - done)
+                wide = np.maximum(wide[: len(wide) - more], widest[more][done: done + len(wide) - more])
+                done += more
+            widest[count] = wide
+        np.copyto(choice, selector + FIRST, where=widest[count][:n] <= bits)
+    return choice
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and for each word the number of ids that start before it."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
-    widths = np.concatenate([_widths(ids), np.ones(60, dtype=np.uint8)])  # zeros fill the last word
-    choice = np.zeros(n + 60, dtype=np.uint8)  # what no selector holds is escaped
-    for selector in range(len(SELECTORS) - 1, -1, -1):  # the later choice packs more ids
-        count, bits = SELECTORS[selector]
-        fits = np.flatnonzero(widths <= bits)
-        runs = fits[: len(fits) - count + 1][fits[count - 1:] - fits[: len(fits) - count + 1] == count - 1]
-        choice[runs] = selector + FIRST
+    choice = _choices(_widths(ids))
     steps = np.where(choice < FIRST, 1, IDS_IN[choice]).astype(np.uint8).tobytes()
     chain, at = [], 0
     while at < n:

@@ -23,24 +23,47 @@ from subtide.llm.scratch import partitions_for, store
 
 RECORD_IDS = 1 << 18
 END_ID = 1
+TABLE_ROWS = 700_000
 _tables: dict[int, PieceTable] = {}
 
 
 def tokenizer_table(tokenizer_json: bytes) -> PieceTable:
-    """This worker's table of pieces for a tokenizer of the tokenizers library."""
+    """This worker's table of pieces for a tokenizer of the tokenizers library.
+
+    Pieces are asked of the library in their simplest form: where its normaliser lowers
+    letters, ASCII pieces are lowered first, and where it parts words and punctuation, a
+    comma or full stop at the end is a piece of its own.
+    """
     key = zlib.crc32(tokenizer_json)
     if key not in _tables:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_buffer(tokenizer_json)
+        lowers = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("aZ") == "az"
+        parts_words = tokenizer.pre_tokenizer is not None and all(
+            [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(w + c)] == [w, c] for w in ("a", "5") for c in ",."
+        )
 
-        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def ask(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
             ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
             counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            return np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(counts.sum())), counts
+            return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
 
-        _tables[key] = PieceTable(encode)
+        simple = PieceTable(ask, TABLE_ROWS)
+
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            parts, sizes = [], np.ones(len(pieces), dtype=np.int64)
+            for i, piece in enumerate(pieces):
+                word = piece.lower() if lowers and piece.isascii() else piece
+                if parts_words and len(word) > 1 and word[-1] in ",." and word[-2].isalnum():
+                    parts += (word[:-1], word[-1])
+                    sizes[i] = 2
+                else:
+                    parts.append(word)
+            return simple.ids_of(parts, sizes)
+
+        _tables[key] = PieceTable(encode, TABLE_ROWS)
     return _tables[key]
 
 
