@@ -169,6 +169,17 @@ def near_links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, key_
     return found.filter("mask IS NULL").select("a", "b").unionByName(rest)
 
 
+def _classes(prints: DataFrame, radius: int) -> DataFrame:
+    """fp, root (the least fingerprint that links reach), component_id (the least id there)
+    for each distinct fingerprint of prints (doc_id, fp)."""
+    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    roots = connected_components(near_links(reps, radius))
+    linked = roots.join(reps, roots["node"] == reps["fp"]).select("fp", "root", "first")
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    moved = linked.join(least, "root").select("fp", "root", "least")
+    return reps.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id: the least id that links reach, for each row of docs.
 
@@ -177,13 +188,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     allowed and never the least; a component of only such ids has a null component_id.
     """
     prints = store(fingerprints(docs, key, text), "fingerprints")
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = connected_components(near_links(reps, radius))
-    linked = roots.join(reps, roots["node"] == reps["fp"]).select("fp", "root", "first")
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    moved = linked.join(least, "root").select("fp", "least")
-    named = reps.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(_classes(prints, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """docs with its columns and one row of each component: that of the least id; of its
+    repeated rows one. A null id counts as the greatest."""
+    names = docs.columns
+    numbered = store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    prints = store(fingerprints(numbered.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "__row").alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
+    kept = prints.join(_classes(prints, radius), "fp").groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+    return numbered.join(kept.select(F.col("doc_id.__row").alias("__row")), "__row", "left_semi").select(names)
 
 
 def fingerprint_hex(fp: Column) -> Column:

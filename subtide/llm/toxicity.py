@@ -302,3 +302,18 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
         z = F.col("margin") * model.slope + model.level
         rows = margins(docs, model, key, text).select(F.col(key).alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score"))
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of docs, with their columns, whose score is below the threshold."""
+    if model is None:
+        return docs
+    shared, scorers = docs.sparkSession.sparkContext.broadcast(model), {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorers.setdefault(0, Scorer(shared.value))
+        for batch in text_slices(batches, text):
+            found = scorer.model.probability(scorer.documents(batch.column(text).to_pylist()))
+            yield batch.filter(pa.array(found < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
