@@ -6,10 +6,11 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subtide.functions.scalars import as_timestamp, as_whole_number, lower_label
 from subtide.operators.rows import duplicate_keys, row_counts, with_lineage
 from subtide.plans import marts, quality, silver
 from subtide.plans.staging import stage, staging_tables
-from subtide.schemas import EVENT_KEY, TABLES
+from subtide.schemas import EVENT_KEY, RAW_FILES, TABLES
 from subtide.sources.star_schema import AS_OF, INGESTED_AT, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +45,27 @@ def _dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_checks(named | dict(layers["gold"]))
 
 
+def _dq_checks_on_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks over tables whose defects were parsed but not removed, most tables
+    missing, so that each kind of check fails."""
+    bronze = {name: raw_table(spark, sf_dir, name) for name in ("users", "subscriptions", "content_events")}
+    return quality.dq_checks({
+        "bronze_content_events": bronze["content_events"],
+        "silver_users": bronze["users"].select("user_id", as_timestamp("signup_ts").alias("signup_ts")),
+        "silver_subscriptions": bronze["subscriptions"].select(lower_label("status").alias("status")),
+        "silver_content_events": bronze["content_events"].select(
+            "user_id", "content_id", as_timestamp("event_ts").alias("event_ts"),
+            lower_label("event_type").alias("event_type"), as_whole_number("watch_seconds").alias("watch_seconds"),
+        ),
+    })
+
+
+def _bronze(name: str) -> Query:
+    return _raw(name, lambda df: with_lineage(df, RAW_FILES[name], INGESTED_AT))
+
+
 QUERIES: dict[str, Query] = {
+    **{f"bronze_layer_{name}": _bronze(name) for name in TABLES if name != "content_events"},
     "bronze_events": _raw("content_events", lambda df: with_lineage(df, "content_events.json", INGESTED_AT)),
     **{f"silver_{name}": _raw(name, clean) for name, clean in silver.SILVER.items()},
     "duplicate_events": _raw("content_events", lambda df: duplicate_keys(silver.typed_events(df), EVENT_KEY)),
@@ -68,4 +89,5 @@ QUERIES: dict[str, Query] = {
     "mart_weekly_metrics": _staged(marts.mart_weekly_metrics, "content_events", "subscriptions"),
     "layer_row_counts": _layer_row_counts,
     "dq_checks": _dq_checks,
+    "dq_checks_on_defects": _dq_checks_on_defects,
 }

@@ -1,7 +1,7 @@
 """Column expressions shared by the plans. All of them stay inside codegen.
 
-Timestamps carry no zone (``TIMESTAMP_NTZ``), so no result depends on the
-session's time zone.
+Timestamps carry no zone (``TIMESTAMP_NTZ``), so results do not depend on the session's
+time zone, save for the defaults ``date_or_today(None)`` and ``timestamp_or_now(None)``.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from subtide.schemas import UNKNOWN
 
 NTZ = "timestamp_ntz"
+TIMESTAMP_FORM = r"^\d{4,6}[-/]\d{1,2}[-/]\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?)?$"
 
 
 def lower_label(name: str) -> Column:
@@ -39,19 +40,24 @@ def label_or_none(name: str) -> Column:
 
 
 def as_timestamp(name: str) -> Column:
-    """Text ``yyyy-MM-dd HH:mm:ss`` (a date or fractional seconds too) to a timestamp.
-
-    Unreadable text gives NULL. The length test keeps Spark from reading a bare
-    year or month as a timestamp.
+    """Text of the form year-month-day, with or without a time of at least hours and
+    minutes, to a timestamp. Single digits, slashes for dashes and fractions of a second
+    are fine; text of another form, padded text too, gives NULL.
     """
     text = F.col(name)
-    return F.when(F.length(text) >= 10, text.try_cast(NTZ))
+    return F.when(text.rlike(TIMESTAMP_FORM), F.translate(text, "/", "-").try_cast(NTZ))
 
 
 def as_number(name: str, kind: str) -> Column:
     return F.col(name).try_cast(kind)
 
 
+def as_whole_number(name: str) -> Column:
+    """Text such as ``120``, ``120.0``, ``12.6`` or ``1e2`` to the nearest int, halves away
+    from zero; NULL if it is no number or too large."""
+    return F.round(F.col(name).try_cast("decimal(38,18)"), 0).try_cast("int")
+
+
 def present(*names: str) -> Column:
     """All columns are set. Unlike ``dropna`` this reaches the Parquet scan."""
     return reduce(and_, [F.col(name).isNotNull() for name in names])

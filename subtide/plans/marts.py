@@ -161,7 +161,9 @@ def _failed_per_owner(payments: DataFrame, subscriptions: DataFrame) -> DataFram
         .groupBy("subscription_id")
         .agg(F.count("*").alias("failed"))
     )
-    return hash_join(subscriptions.select("subscription_id", "user_id"), failed, ["subscription_id"], "inner")
+    # One row per subscription on both sides: there is no hot key, and the plain join keeps
+    # the count's shuffle.
+    return subscriptions.select("subscription_id", "user_id").join(failed, "subscription_id")
 
 
 def failed_payments_by_user(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -232,7 +234,7 @@ def mart_churn_risk(
     inactive = days_between(F.to_date("last_event_ts"), date_or_today(as_of))
     signals = user_signals(events, payments, subscriptions, support_cases)
     scored = (
-        hash_join(users.select("user_id", "country", "channel"), signals, ["user_id"])
+        users.select("user_id", "country", "channel").join(signals, "user_id", "left")
         .select(
             "user_id",
             "country",

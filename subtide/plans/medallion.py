@@ -1,7 +1,7 @@
 """The whole flow: raw extracts to bronze, silver and gold tables, and CSV exports.
 
-Each layer is written before the next reads it, so a failed run resumes from
-finished tables and no plan grows over more than one layer.
+Each layer is written before the next reads it, so no plan grows over more than one
+layer, and after a failure ``build_all(start=...)`` goes on from the layers that exist.
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
 
 
 def build_bronze(
-    spark: SparkSession, raw: str, base: str, ingested_at: str | dt.datetime | None = None
+    spark: SparkSession, raw: str, base: str, ingested_at: str | dt.datetime | None = None,
+    multiline: bool = False, layout: str = "array",
 ) -> None:
-    bronze = bronze_tables(spark, raw, ingested_at)
+    bronze = bronze_tables(spark, raw, ingested_at, multiline, layout)
     run_together(partial(write_table, df, base, "bronze", name) for name, df in bronze.items())
 
 
@@ -86,9 +87,17 @@ def build_all(
     as_of: str | dt.date | None = None,
     ingested_at: str | dt.datetime | None = None,
     exports: str | None = None,
+    start: str = "bronze",
+    multiline: bool = False,
+    layout: str = "array",
 ) -> None:
-    build_bronze(spark, raw, base, ingested_at)
-    build_silver(spark, base)
+    """Builds from the layer ``start`` on; those before it must have been written.
+    ``multiline`` (CSV) and ``layout`` (JSON) are the readers' options."""
+    steps = list(LAYERS)[list(LAYERS).index(start):]
+    if "bronze" in steps:
+        build_bronze(spark, raw, base, ingested_at, multiline, layout)
+    if "silver" in steps:
+        build_silver(spark, base)
     create_staging_views(silver_layer(spark, base))
     build_gold(spark, base, as_of)
     if exports is not None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from subtide.functions.scalars import (
     as_number,
     as_timestamp,
+    as_whole_number,
     known_label,
     label_or_none,
     lower_label,
@@ -76,7 +77,7 @@ def typed_events(bronze: DataFrame) -> DataFrame:
             "content_id",
             as_timestamp("event_ts").alias("event_ts"),
             lower_label("event_type").alias("event_type"),
-            as_number("watch_seconds", "int").alias("watch_seconds"),
+            as_whole_number("watch_seconds").alias("watch_seconds"),
             lower_label("device_type").alias("device_type"),
             lower_label("category").alias("category"),
         )

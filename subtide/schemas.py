@@ -11,6 +11,7 @@ def _text_fields(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+# The columns of the raw files.
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "plans": _text_fields("plan_id", "plan_name", "billing_cycle", "list_price"),
     "users": _text_fields("user_id", "signup_ts", "country", "acquisition_channel", "device_preference"),

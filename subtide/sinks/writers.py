@@ -22,26 +22,36 @@ def run_together(writes: Iterable[Callable[[], None]]) -> None:
 
 
 def write_table(df: DataFrame, base: str, layer: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(table_path(base, layer, name))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(table_path(base, layer, name))
 
 
 def write_events(df: DataFrame, base: str, layer: str, name: str = "content_events") -> None:
     """Events in one folder per day.
 
     The rebalance gathers each day before the write, so a task opens few files, and
-    adaptive execution splits a day that is larger than the advisory size.
+    adaptive execution splits a day that is larger than the advisory size. The overwrite
+    is static, whatever the session says: days that are not written again go.
     """
     dated = df.withColumn(EVENT_DATE, F.to_date("event_ts"))
     (
         dated.hint("rebalance", EVENT_DATE)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(EVENT_DATE)
         .parquet(table_path(base, layer, name))
     )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    """Values as they are: spaces stay, quotes are doubled, timestamps have a fraction only
+    where there is one. NULL is an empty field, an empty text a quoted one."""
+    plain = [
+        F.col(f"`{name}`").cast("string").alias(name) if kind == "timestamp_ntz" else F.col(f"`{name}`")
+        for name, kind in df.dtypes
+    ]
+    df.select(*plain).write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def export_csv(tables: Mapping[str, DataFrame], folder: str) -> None:

@@ -13,42 +13,77 @@ from subtide.schemas import RAW_FILES, RAW_SCHEMAS, TABLES
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
-    """CSV with a header line; empty fields, quoted or not, are NULL.
+    """CSV with a header line and doubled quotes; empty fields, quoted or not, are NULL.
 
-    ``multiline`` accepts line breaks inside quotes, at the price of one task per file.
+    A row with too many or too few fields fails the read. ``multiline`` accepts line
+    breaks inside quotes, at the price of one task per file.
     """
-    return spark.read.schema(schema).csv(path, header=True, multiLine=multiline, enforceSchema=False)
+    return spark.read.schema(schema).csv(
+        path, header=True, multiLine=multiline, enforceSchema=False, escape='"', mode="FAILFAST"
+    )
 
 
-def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
-) -> DataFrame:
-    """Flat JSON objects: an array over any number of lines, or one object per line.
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The text before each opening brace, and the last one's rest."""
+    return spark.read.text(path, lineSep="{").select(F.trim(F.col("value"), F.lit(" \t\r\n\ufeff")).alias("piece"))
+
+
+def read_json_records(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array") -> DataFrame:
+    """Flat JSON objects. ``layout`` says how they lie in the files:
 
-    Spark's own array reader gives a whole file to one task. Objects without nested
-    ones end at their closing brace, so here the file is split there, like lines of
-    text, and one large array is read by many tasks. A brace inside a text value
-    leaves an unterminated string and fails the read, so nothing is lost quietly;
-    such files need ``multiline=True``, which is one task per file.
+    * ``array``: an array over any number of lines. Spark's own array reader gives a
+      whole file to one task; here the file is split at opening braces, like lines of
+      text, and one large array is read by many tasks. Each record keeps its own closing
+      brace, so a record that is cut off, or an opening brace inside a text value, fails
+      the read. One object per line is read as well.
+    * ``lines``: one object per line, with any text.
+    * ``whole``: any layout and any text, one task per file.
     """
-    if multiline:
+    if layout == "whole":
         return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
-    body = F.ltrim(F.col("value"), F.lit(" \t\r\n[],\ufeff"))
-    record = F.from_json(F.concat(body, F.lit("}")), schema, {"mode": "FAILFAST"})
+    if layout == "lines":
+        return spark.read.schema(schema).json(path, mode="FAILFAST")
+    if layout != "array":
+        raise ValueError(f"layout {layout!r} is none of array, lines, whole")
+    body = F.rtrim(F.col("piece"), F.lit(" \t\r\n],"))
+    record = F.from_json(F.concat(F.lit("{"), body), schema, {"mode": "FAILFAST"})
     # Generated columns keep each object to one parse, whatever filters follow.
-    return spark.read.text(path, lineSep="}").filter(body != "").select(F.inline(F.array(record)))
+    return _pieces(spark, path).filter(~body.isin("", "[")).select(F.inline(F.array(record)))
 
 
-def read_raw(spark: SparkSession, folder: str, name: str, multiline: bool = False) -> DataFrame:
+def require_closed_arrays(spark: SparkSession, path: str) -> None:
+    """Fails if a file that starts an array does not end it: a file cut between two
+    records has only whole ones. Reads the files once more."""
+    piece = F.col("piece")
+    ends = (
+        _pieces(spark, path).select(F.input_file_name().alias("file"), "piece").groupBy("file")
+        .agg(F.count_if(piece.startswith("[")).alias("opened"), F.count_if(piece.endswith("]")).alias("closed"))
+    )
+    cut = ends.filter((F.col("opened") > 0) & (F.col("closed") == 0)).select("file").take(5)
+    if cut:
+        raise ValueError(f"JSON arrays without an end: {[row.file for row in cut]}")
+
+
+def read_raw(
+    spark: SparkSession, folder: str, name: str, multiline: bool = False, layout: str = "array"
+) -> DataFrame:
+    """A raw extract; ``multiline`` is for CSV, ``layout`` for JSON."""
     path = f"{folder.rstrip('/')}/{RAW_FILES[name]}"
-    read = read_json_records if path.endswith(".json") else read_csv
-    return read(spark, path, RAW_SCHEMAS[name], multiline)
+    if not path.endswith(".json"):
+        return read_csv(spark, path, RAW_SCHEMAS[name], multiline)
+    if layout == "array":
+        require_closed_arrays(spark, path)
+    return read_json_records(spark, path, RAW_SCHEMAS[name], layout)
 
 
 def bronze_tables(
-    spark: SparkSession, folder: str, ingested_at: str | dt.datetime | None = None
+    spark: SparkSession, folder: str, ingested_at: str | dt.datetime | None = None,
+    multiline: bool = False, layout: str = "array",
 ) -> dict[str, DataFrame]:
-    """All raw extracts as they are, with lineage columns."""
+    """All raw extracts as they are, with lineage columns; all carry the same time."""
+    if ingested_at is None:
+        ingested_at = spark.range(1).select(F.localtimestamp()).first()[0]
     return {
-        name: with_lineage(read_raw(spark, folder, name), RAW_FILES[name], ingested_at) for name in TABLES
+        name: with_lineage(read_raw(spark, folder, name, multiline, layout), RAW_FILES[name], ingested_at)
+        for name in TABLES
     }

@@ -7,7 +7,6 @@ keys, unreadable timestamps, repeated events). Rules are listed in FIXTURES.md.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ _SOURCES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string",
     "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
 }
@@ -35,22 +34,14 @@ def _pick(index: str, *values: str) -> str:
     return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
 
 
-_DAYS = ", ".join(f"'{dt.date(2024, 1, 1) + dt.timedelta(n)} 00:00:00'" for n in range(60))
-
-
 def _day(number: str) -> str:
-    """SQL for the text timestamp that many days (under 60) into 2024."""
-    return f"array({_DAYS})[CAST({number} AS INT)]"
+    """SQL for the text timestamp that many days after the start of 2024."""
+    return f"concat(date_add(DATE '2024-01-01', CAST({number} AS INT)), ' 00:00:00')"
 
 
 def _select(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
-    """The raw table as text columns.
-
-    They leave a generator, so silver's expressions and filters do not repeat the
-    ones here; on stored raw tables they are plain columns.
-    """
-    row = F.struct(*[F.expr(columns[c]).cast("string").alias(c) for c in RAW_SCHEMAS[name].names])
-    return df.select(F.inline(F.array(row)))
+    """The raw table as text columns."""
+    return df.select(*[F.expr(columns[c]).cast("string").alias(c) for c in RAW_SCHEMAS[name].names])
 
 
 PLAN_IDS = ("plan_free", "plan_basic", "plan_standard", "plan_premium", "plan_annual")
@@ -71,6 +62,7 @@ def _users(table: Callable[[str], DataFrame]) -> DataFrame:
         "user_id": "CASE WHEN c_custkey % 97 <> 96 THEN c_custkey END",
         "signup_ts": (
             "CASE WHEN c_custkey % 89 = 88 THEN NULL WHEN c_custkey % 83 = 82 THEN 'not a date' "
+            "WHEN c_custkey % 79 = 78 THEN '2024-1-5' WHEN c_custkey % 73 = 72 THEN '      2024' "
             f"ELSE {_day('c_custkey % 25')} END"
         ),
         "country": "concat(' ', lower(n_name))",
@@ -106,6 +98,8 @@ def _payments(table: Callable[[str], DataFrame]) -> DataFrame:
         "subscription_id": "CASE WHEN l_orderkey % 107 <> 106 THEN l_orderkey END",
         "payment_ts": (
             "CASE WHEN l_orderkey % 113 = 112 AND l_linenumber = 3 THEN 'not a date' "
+            "WHEN l_orderkey % 113 = 111 AND l_linenumber = 3 THEN '2024-02    ' "
+            "WHEN l_orderkey % 113 = 110 AND l_linenumber = 3 THEN '2024-1-5 7:30' "
             f"ELSE {_day('(l_orderkey * 7) % 30 + l_linenumber * 4')} END"
         ),
         "amount": "price",
@@ -129,24 +123,27 @@ def _content_events(table: Callable[[str], DataFrame]) -> DataFrame:
     })
     return _select(viewed, "content_events", {
         "user_id": "CASE WHEN event_id % 211 <> 210 THEN viewer END",
-        "content_id": "concat('content_', event_id % 200)",
+        "content_id": "CASE WHEN event_id % 100 <> 60 THEN concat('content_', event_id % 200) END",
         "event_ts": (
             "CASE WHEN event_id % 223 = 222 THEN 'not a date' WHEN viewer % 3 = 0 "
-            "THEN substr(CAST(ts - INTERVAL '20' DAY AS STRING), 1, 19) "
-            "ELSE substr(CAST(ts AS STRING), 1, 19) END"
+            "THEN CAST(ts - INTERVAL '20' DAY AS STRING) ELSE CAST(ts AS STRING) END"
         ),
         "event_type": "CASE WHEN copy = 1 THEN upper(label) ELSE label END",
-        "watch_seconds": "CAST(floor(value * 10) AS INT) - CASE WHEN copy = 1 AND event_id % 40 = 0 THEN 1 ELSE 0 END",
+        "watch_seconds": (
+            "concat(CAST(floor(value * 10) AS INT) - CASE WHEN copy = 1 AND event_id % 40 = 0 THEN 1 ELSE 0 END, "
+            "CASE event_id % 7 WHEN 3 THEN '.0' WHEN 4 THEN '.5' ELSE '' END)"
+        ),
         "device_type": _pick("event_id % 4", "Mobile", "desktop", "tablet", "smart_tv"),
         "category": _pick("event_id % 3", "Drama", " kids", "sports"),
     })
 
 
 def _support_cases(table: Callable[[str], DataFrame]) -> DataFrame:
-    urgent = table("orders").filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'")
-    return _select(urgent, "support_cases", {
+    """A case for every order. Of four neighbouring customers one has most of the cases,
+    two have few, and one has none."""
+    return _select(table("orders"), "support_cases", {
         "case_id": "o_orderkey",
-        "user_id": "o_custkey",
+        "user_id": "o_custkey - o_custkey % 4 + CASE o_orderkey % 16 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END",
         "case_ts": _day("o_orderkey % 45"),
         "issue_type": _pick("o_orderkey % 3", "Billing_Issue", "cancellation", "plan_change"),
         "resolution_status": (

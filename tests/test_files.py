@@ -2,14 +2,16 @@
 
 import csv
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from subtide.plans import medallion
 from subtide.plans.silver import silver_content_events, silver_payments
 from subtide.schemas import MARTS, RAW_SCHEMAS, TABLES
 from subtide.sinks.writers import export_csv
-from subtide.sources.raw_files import bronze_tables, read_json_records, read_raw
+from subtide.sources.raw_files import bronze_tables, read_csv, read_json_records, read_raw
 from tests.helpers import case, event, payment, subscription, ts, user
 
 EVENTS = RAW_SCHEMAS["content_events"]
@@ -57,6 +59,12 @@ def test_csv_empty_fields_are_null(spark, tmp_path):
         assert silver_payments(df).first().failure_reason == "none"
 
 
+def test_csv_doubled_quotes(spark, tmp_path):
+    write_csv(tmp_path / "support_cases.csv", "support_cases", [case("k1", issue_type='say "hi", ok')])
+    row = read_raw(spark, str(tmp_path), "support_cases").first()
+    assert (row.issue_type, row.resolution_status) == ('say "hi", ok', "resolved")
+
+
 def test_csv_line_breaks_in_quotes(spark, tmp_path):
     write_csv(tmp_path / "support_cases.csv", "support_cases", [case("k1", issue_type="two\nlines")])
     assert read_raw(spark, str(tmp_path), "support_cases", multiline=True).first().issue_type == "two\nlines"
@@ -104,12 +112,87 @@ def test_json_file_is_read_by_several_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
-def test_json_brace_in_text_fails_unless_multiline(spark, tmp_path):
+def test_json_opening_brace_in_text_fails_in_the_array_layout(spark, tmp_path):
     path = str(tmp_path / "e.json")
-    (tmp_path / "e.json").write_text(json.dumps([event(content="a}b"), event()]))
+    (tmp_path / "e.json").write_text(json.dumps([event(content="a{b"), event(content="a}b")]))
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         read_json_records(spark, path, EVENTS).collect()
-    assert [r.content_id for r in read_json_records(spark, path, EVENTS, multiline=True).collect()] == ["a}b", "c1"]
+    whole = read_json_records(spark, path, EVENTS, layout="whole")
+    assert [r.content_id for r in whole.collect()] == ["a{b", "a}b"]
+    (tmp_path / "l.json").write_text("\n".join(json.dumps(event(content=c)) for c in ("a{b", "a}b")))
+    lines = read_json_records(spark, str(tmp_path / "l.json"), EVENTS, layout="lines")
+    assert [r.content_id for r in lines.collect()] == ["a{b", "a}b"]
+
+
+@pytest.mark.parametrize("cut", range(1, 40, 6))
+def test_truncated_json_fails(spark, tmp_path, cut):
+    whole = json.dumps([event(), event(seconds=120)])
+    (tmp_path / "content_events.json").write_text(whole[: len(whole) - 1 - cut])
+    with pytest.raises(Exception, match="MALFORMED_RECORD|without an end"):
+        read_raw(spark, str(tmp_path), "content_events").collect()
+
+
+def test_json_cut_between_records_fails(spark, tmp_path):
+    (tmp_path / "content_events.json").write_text(json.dumps([event(), event()])[:-1])
+    with pytest.raises(ValueError, match="without an end"):
+        read_raw(spark, str(tmp_path), "content_events")
+
+
+@pytest.mark.parametrize("line", ["k1,u1,2024-01-01,a,b,c", "k1,u1", "k1,u1,2024-01-01,'two\nlines\",b"])
+def test_ragged_csv_fails(spark, tmp_path, line):
+    text = ",".join(RAW_SCHEMAS["support_cases"].names) + "\n" + line.replace("'", '"') + "\n"
+    (tmp_path / "support_cases.csv").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|MALFORMED_CSV"):
+        read_raw(spark, str(tmp_path), "support_cases").collect()
+
+
+def test_exports_keep_values(spark, tmp_path):
+    odd = [" usd ", 'say ""hi"", "ok"', "two\nlines", "a,b", None, "", "back\\slash"]
+    rows = [(str(i), text) for i, text in enumerate(odd)]
+    df = spark.createDataFrame(rows, "n string, x string").coalesce(1).selectExpr(
+        "n", "x", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS whole", "TIMESTAMP_NTZ '2024-01-01 00:00:00.25' AS part"
+    )
+    export_csv({"t": df}, str(tmp_path))
+    (file,) = (tmp_path / "t.csv").glob("part-*")
+    with open(file, newline="") as f:
+        header, *read = csv.reader(f)
+    assert header == ["n", "x", "whole", "part"]
+    assert [r[1] for r in read] == [x or "" for x in odd]
+    assert {tuple(r[2:]) for r in read} == {("2024-01-01 00:00:00", "2024-01-01 00:00:00.25")}
+    back = read_csv(spark, str(tmp_path / "t.csv"), df.select(*[F.col(c).cast("string") for c in df.columns]).schema, multiline=True)
+    assert [r.x for r in back.orderBy("n").collect()] == [x or None for x in odd]
+
+
+def test_reader_options_reach_the_flow(spark, extracts, tmp_path):
+    raw = Path(extracts)
+    write_csv(raw / "support_cases.csv", "support_cases", [case("k1", issue_type="two\nlines")])
+    (raw / "content_events.json").write_text("\n".join(json.dumps(e) for e in (event(content="a{b"), event())))
+    base = str(tmp_path / "lake")
+    medallion.build_all(spark, extracts, base, as_of="2024-02-15", multiline=True, layout="lines")
+    assert spark.read.parquet(f"{base}/silver/support_cases").first().issue_type == "two\nlines"
+    assert {r.content_id for r in spark.read.parquet(f"{base}/silver/content_events").collect()} == {"a{b", "c1"}
+    stamps = {spark.read.parquet(f"{base}/bronze/{t}").first()._ingested_at for t in TABLES}
+    assert len(stamps) == 1, "one run has one time"
+
+
+def test_a_run_goes_on_from_a_layer(spark, extracts, tmp_path):
+    base = str(tmp_path / "lake")
+    medallion.build_all(spark, extracts, base, as_of="2024-02-15")
+    before = spark.read.parquet(f"{base}/gold/mart_churn_risk").count()
+    medallion.build_all(spark, "/nowhere", base, as_of="2024-02-15", start="silver")
+    assert spark.read.parquet(f"{base}/gold/mart_churn_risk").count() == before
+
+
+def test_overwrite_is_static(spark, tmp_path):
+    from subtide.sinks.writers import write_events
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for day in (1, 2):
+            write_events(spark.sql(f"SELECT 'u' AS user_id, TIMESTAMP_NTZ '2024-01-0{day} 00:00:00' AS event_ts"), str(tmp_path), "silver")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.event_ts.day for r in spark.read.parquet(f"{tmp_path}/silver/content_events").collect()] == [2]
 
 
 def test_bronze_keeps_rows_and_adds_lineage(spark, extracts):

@@ -43,6 +43,15 @@ def test_failures_are_counted(spark, tables):
     }
 
 
+def test_null_is_a_value_in_the_natural_key_only(spark):
+    events = spark.sql(
+        "SELECT * FROM VALUES ('u', NULL, 1, 'play', 5), ('u', NULL, 1, 'play', 6) AS t(user_id, content_id, event_ts, event_type, watch_seconds)"
+    )
+    assert [r.failing_rows for r in check_table("silver_content_events", events).filter("check = 'unique'").collect()] == [1]
+    weeks = spark.sql("SELECT * FROM VALUES (NULL, 1), (NULL, 2) AS t(week_start, weekly_active_users)")
+    assert [r.failing_rows for r in check_table("mart_weekly_metrics", weeks).filter("check = 'unique'").collect()] == [0]
+
+
 def test_empty_tables_pass(tables):
     for name in ("silver_content_events", "silver_subscriptions", "mart_churn_risk"):
         found = results(check_table(name, tables[name].limit(0)).selectExpr("*", "failing_rows = 0 AS passed"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from subtide.operators.joins import first_within_days, hash_join, left_join_from
 from subtide.operators.rows import keep_first
 from subtide.plans import marts, silver
+from subtide.plans.staging import stage
 from subtide.schemas import EVENT_KEY, RAW_SCHEMAS
 
 
@@ -220,5 +221,16 @@ def test_churn_signals_take_one_aggregation(spark, conf):
     assert len(re.findall(r"Exchange hashpartitioning\(user_id#\d+, 8\)", plan)) == 1
 
 
+def test_churn_from_stored_tables_takes_four_shuffles(spark, tmp_path, conf):
+    """Payments and subscriptions on the subscription, the signals and the users on the user."""
+    shuffled(conf)
+    conf(spark__sql__adaptive__enabled="false")
+    for name in RAW_SCHEMAS:
+        silver.SILVER[name](spark.createDataFrame([], RAW_SCHEMAS[name])).write.parquet(f"{tmp_path}/{name}")
+    staged = {n: stage(n, spark.read.parquet(f"{tmp_path}/{n}")) for n in RAW_SCHEMAS}
+    plan = marts.mart_tables(staged, "2024-02-15")["mart_churn_risk"]._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 4
+
+
 def test_event_key_is_the_natural_key():
     assert EVENT_KEY == ("user_id", "content_id", "event_ts", "event_type")

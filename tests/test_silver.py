@@ -1,5 +1,6 @@
 """Cleaning rules of the silver tables on hand-made rows."""
 
+import pytest
 from pyspark.sql import types as T
 
 from tests.helpers import case, event, payment, raw, silver, subscription, ts, user
@@ -146,3 +147,21 @@ def test_results_do_not_depend_on_the_session_zone(spark):
         assert weekly_activity(df).first().week_start == ts("2024-03-04 00:00:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-1-5", "2024-01-05 00:00:00"), ("2024-01-05 10:00", "2024-01-05 10:00:00"), ("2024/1/5", "2024-01-05 00:00:00"),
+    ("2024-01-05T10:00:00.25", "2024-01-05 10:00:00.250000"), ("2024-01-05 1:2:3", "2024-01-05 01:02:03"),
+    ("      2024", None), ("2024-02    ", None), ("2024-01-05 10", None), (" 2024-01-05 ", None), ("2024-13-01", None), ("", None), (None, None),
+])
+def test_timestamps_are_told_by_their_form(spark, text, expected):
+    row = silver(spark, "subscriptions", subscription(start=text)).first()
+    assert row.start_ts == (None if expected is None else ts(expected))
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("120", 120), ("120.0", 120), ("12.5", 13), ("12.4", 12), ("1e2", 100), (" 12 ", 12), ("2147483648", None), ("12abc", None), ("", None),
+])
+def test_watch_seconds_with_decimals(spark, text, expected):
+    rows = silver(spark, "content_events", event(seconds=text)).collect()
+    assert [r.watch_seconds for r in rows] == ([] if expected is None else [expected])
