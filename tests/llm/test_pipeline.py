@@ -1,0 +1,98 @@
+"""The pipeline on planted documents, stage by stage, and the registered queries against SQL."""
+
+import hashlib
+import random
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from subtide.llm import simhash
+from subtide.llm.queries import ORACLE, QUERIES
+from tests.llm.test_simhash import components, fingerprint
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_registered():
+    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in QUERIES}
+    assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    result = con.execute(ORACLE[name])
+    columns = [c[0] for c in result.description]
+    expected = sorted(map(repr, result.fetchall()))
+    assert sorted(repr(tuple(r)) for r in QUERIES[name](spark, SF_DIR).select(*columns).collect()) == expected
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """sf0.1's labels and documents with planted ones, and a benchmark."""
+    out = tmp_path_factory.mktemp("tables")
+    rng = random.Random(8)
+    say = lambda n: " ".join("".join(rng.choice("aeiourstln") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    item = say(40)
+    unique, copied = say(300), say(300)
+    planted = [
+        (10**6, unique), (10**6 + 1, copied), (10**6 + 2, copied), (10**6 + 3, copied.upper()), (10**6 + 4, f"{say(50)}. {item}! {say(50)}"),
+        (10**6 + 5, item), (10**6 + 6, f"{say(100)} you stupid worthless idiot, disgusting clown {say(100)}"), (10**6 + 7, None), (10**6 + 8, ""),
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(4000)
+    extra = spark.createDataFrame([(i, t, "en", "src", None if t is None else len(t)) for i, t in planted], docs.schema)
+    docs.unionByName(extra).write.parquet(f"{out}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.1/labels.parquet").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return str(out), item, dict(planted)
+
+
+def test_stages(spark, folder):
+    sf_dir, item, planted = folder
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").cache()
+    columns, seen = docs.columns, docs
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        rows = seen.collect()
+        seen = stage(spark, seen, sf_dir).cache()
+        assert seen.columns == columns, name
+        kept = {r.doc_id: r for r in seen.collect()}
+        if k == 0:
+            assert 10**6 + 6 not in kept and set(planted) - set(kept) == {10**6 + 6}
+            assert len(kept) >= 0.8 * len(rows)
+        if k == 1:
+            root = components([fingerprint(r.text) for r in rows])
+            least = {}
+            for r in rows:
+                least[root[fingerprint(r.text)]] = min(r.doc_id, least.get(root[fingerprint(r.text)], r.doc_id))
+            assert set(kept) == set(least.values())
+        if k == 2:
+            assert 10**6 + 5 not in kept
+            cut = kept[10**6 + 4]
+            assert item not in cut.text and len(cut.text.split()) == 101 and cut.n_chars == len(cut.text)
+            assert {r.doc_id: r.text for r in rows if r.doc_id in kept and r.doc_id != 10**6 + 4} == {i: r.text for i, r in kept.items() if i != 10**6 + 4}
+    final = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, seen, sf_dir).collect()}
+    assert set(final) == set(kept)
+    assert all(final[i].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for i, r in kept.items())
+    assert 10**6 in kept and kept[10**6].text == planted[10**6]
+
+
+def test_run_equals_the_stages(spark, folder):
+    rows = corpus_pipeline.run(spark, folder[0]).collect()
+    assert {r.doc_id for r in rows} >= {10**6, 10**6 + 1, 10**6 + 4} and not {r.doc_id for r in rows} & {10**6 + k for k in (2, 3, 5, 6)}
+    assert len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_dedup_keeps_rows_of_odd_ids(spark, odd):
+    assert np.unique([fingerprint(r.text) for r in simhash.deduplicate(odd).collect()]).size >= 5

@@ -1,0 +1,75 @@
+"""Simple-8b round trips, and token files against the tokenizers library."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from subtide.llm import simple8b, token_files
+
+JSON = open(public_tokenizers.path("word_bpe_49k.json"), "rb").read()
+
+
+@given(st.lists(st.one_of(st.integers(0, 1), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=400), st.data())
+def test_round_trip_and_ranges(values, data):
+    ids = np.array(values, dtype=np.uint64)
+    image = simple8b.to_bytes(ids)
+    assert simple8b.from_bytes(image).tolist() == values
+    first = data.draw(st.integers(0, len(values)))
+    count = data.draw(st.integers(0, len(values)))
+    assert simple8b.from_bytes(image, first, count).tolist() == values[first: first + count]
+
+
+def test_many_blocks_and_escapes_at_their_edges():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 50_000, 60_000).astype(np.uint64)
+    ids[rng.integers(0, 60_000, 500)] = 2**63 + 5
+    image = simple8b.to_bytes(ids)
+    assert (simple8b.from_bytes(image) == ids).all()
+    assert all((simple8b.from_bytes(image, a, 700) == ids[a: a + 700]).all() for a in range(0, 59_000, 777))
+    assert len(simple8b.to_bytes(np.zeros(60_000, dtype=np.uint64))) < 60_000 // 60 * 8 + 200
+    with pytest.raises(ValueError):
+        simple8b.from_bytes(image[:-1])
+
+
+def expected(rows):
+    tokenizer, start, out = Tokenizer.from_buffer(JSON), 0, []
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_pieces_are_encoded_as_whole_texts_are():
+    texts = [
+        "Hello, World. ÉTÉ, été. it's we'll 3.14, x... a.b, <|endoftext|>, A<|startoftext|>B.  em space\x1c,\x85.",
+        "ΣΑΣ. İstanbul, ß. \tTabs\r\nand\x0bmore ,, .. ., 12. ٣, ½. _x. -.",
+    ]
+    ids, counts = token_files.encode_texts(texts, token_files.tokenizer_table(JSON), None)
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    tokenizer = Tokenizer.from_buffer(JSON)
+    assert [p.tolist() for p in parts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_of_a_table(spark, small):
+    docs = small("documents")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    files = token_files.write_token_files(docs, JSON, record_ids=5000)
+    assert sorted(map(tuple, token_files.token_file_digests(files).collect())) == expected(rows)
+    back = {r.doc_id: r.ids for r in token_files.read_token_files(files).collect()}
+    assert all(zlib.crc32(np.array(back[d], dtype="<u4").tobytes()) == c for d, _, _, c in expected(rows))
+
+
+def test_odd_rows(spark, odd, none):
+    found = token_files.token_file_digests(token_files.write_token_files(odd, JSON)).collect()
+    assert len(found) == odd.count()
+    found = sorted(found, key=lambda r: r.start)
+    assert [r.start for r in found] == np.cumsum([0, *[r.n_tokens for r in found]])[:-1].tolist()
+    assert [r.doc_id for r in found] == [None, None, 1, 2, 3, 4, 5, 6, 7, 7, 8, 9, 10]
+    assert {r.n_tokens for r in found if r.doc_id in (2, 3, 4)} == {1}
+    assert token_files.token_file_digests(token_files.write_token_files(none, JSON)).collect() == []
