@@ -292,6 +292,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", order: int =
         [column[f"b{k}"] for k in range(order)], column["times"], uniform,
     )
 
+    if not tokens:
+        weights[0] = 0  # nothing was counted: every token is unknown
+
     def judge(batch: pa.Table, found: pa.Table) -> pa.Table:
         row = batch.slice(0, 1)
         ids = row.column("doc_ids").combine_chunks().values

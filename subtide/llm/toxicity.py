@@ -29,8 +29,10 @@ SINGLES = 4  # single characters in a row that make a unit
 NOTHING = -2.0  # the margin of a text without units
 #: Bounds of the training sample and of the model.
 TOXIC_DOCUMENTS, CLEAN_DOCUMENTS = 4000, 8000
-POSITIVES, NEGATIVES, LANDMARKS = 600, 3000, 192
-RIDGE = 0.01
+POSITIVES, NEGATIVES, LANDMARKS = 600, 2000, 256
+#: Of the machine: penalty, and weight of all positive units against all negative ones. As
+#: a document takes its worst unit, a wrong negative unit costs more.
+RIDGE, POSITIVE_WEIGHT = 0.01, 0.05
 HARD_ROUNDS = 3
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»“”„’‘…"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -163,31 +165,36 @@ def _unit_counts(sample: DataFrame) -> DataFrame:
     return rows.distinct().groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
 
 
+def _similarities(units: list[str], features: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """Cosines of the units' bags with the landmarks'; space: [feature, landmark]."""
+    out = np.zeros((len(units), space.shape[1]))
+    row, feature, weight = bags(units)
+    at = np.minimum(np.searchsorted(features, feature), len(features) - 1)
+    known = np.flatnonzero(features[at] == feature)
+    if len(known):
+        row = row[known]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        out[row[first]] = np.add.reduceat(weight[known, None] * space[at[known]], first, axis=0)
+    return out
+
+
 def _train_units(positive: list[str], trust: np.ndarray, negative: list[str], landmarks: int) -> Model:
-    """Squared-hinge machine in the Nyström space of the landmarks, by Newton steps."""
+    """Squared-hinge machine in the Nyström space of the landmarks, by Newton steps. The
+    landmarks are the first positive and negative units."""
     inserted = [u[:k] + mark + u[k:] for u in positive[: landmarks] for k in range(1, len(u)) for mark in ".x"]
     units = [*positive, *inserted, *negative]
     target = np.concatenate([np.ones(len(positive) + len(inserted)), -np.ones(len(negative))])
     weight = np.concatenate([trust, np.full(len(inserted), 0.2), np.ones(len(negative))])
-    weight[target > 0] *= len(negative) / weight[target > 0].sum()
-    marks = [*positive[: landmarks * 2 // 3], *negative[-(landmarks - len(positive[: landmarks * 2 // 3])):]]
+    weight[target > 0] *= POSITIVE_WEIGHT * len(negative) / weight[target > 0].sum()
+    marks = [*positive[: landmarks // 2], *negative[: landmarks - len(positive[: landmarks // 2])]]
     row, feature, value = bags(marks)
     features, column = np.unique(feature, return_inverse=True)
-    space = np.zeros((len(marks), len(features)))
-    space[row, column] = value
-    among = space @ space.T
-    roots, vectors = np.linalg.eigh(among)
+    space = np.zeros((len(features), len(marks)))
+    space[column, row] = value
+    roots, vectors = np.linalg.eigh(space.T @ space)
     kept = roots > 1e-6
     inverse_root = vectors[:, kept] / np.sqrt(roots[kept])
-    near = np.empty((len(units), len(marks)))
-    for a in range(0, len(units), 512):
-        part = units[a: a + 512]
-        row, feature, value = bags(part)
-        at = np.minimum(np.searchsorted(features, feature), len(features) - 1)
-        known = features[at] == feature
-        bag = np.zeros((len(part), len(features)))
-        bag[row[known], at[known]] = value[known]
-        near[a: a + 512] = bag @ space.T
+    near = np.concatenate([_similarities(units[a: a + 512], features, space) for a in range(0, len(units), 512)])
     x = np.column_stack([near @ inverse_root, np.ones(len(units))])
     ridge = np.diag([*np.full(x.shape[1] - 1, RIDGE), 1e-8])
     w, active = np.zeros(x.shape[1]), np.ones(len(units), dtype=bool)
@@ -198,7 +205,7 @@ def _train_units(positive: list[str], trust: np.ndarray, negative: list[str], la
         if (now == active).all():
             break
         active = now
-    return Model(features, space.T @ (inverse_root @ w[:-1]), float(w[-1]))
+    return Model(features, space @ (inverse_root @ w[:-1]), float(w[-1]))
 
 
 def _calibrate(model: Model, margins: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
@@ -271,7 +278,7 @@ def train(
                     yield pa.RecordBatch.from_arrays([part, pa.array(model.margins(part.to_pylist()))], names=["unit", "margin"])
 
         hard = plain.select("unit").mapInArrow(judge, "unit string, margin double").orderBy(F.desc("margin"), "unit").limit(negatives).collect()
-        negative = list(dict.fromkeys([*negative, *(r.unit for r in hard)]))
+        negative = list(dict.fromkeys([*(r.unit for r in hard), *negative]))  # the hardest first
         model = _train_units(positive, trust, negative, landmarks)
     rows = margins(sample, model, "toxic").collect()  # of the bounded sample
     toxic = np.array([r.toxic for r in rows], dtype=float)
