@@ -94,9 +94,10 @@ class _Pages:
 
     def page(self) -> str:
         some = lambda *kinds: "".join(self.other(k) for k in kinds if self.draw.random() < 0.6)
-        title = self.element("h1", 1, self.words(6, False))
+        title = self.element("h1", 1, self.words(6, False)) if self.draw.random() < 0.8 else ""
         inside = some("share", "ad") if self.draw.random() < 0.4 else ""
-        text = title + self.prose(1, self.draw.randint(1, 6)) + inside + self.prose(1, self.draw.randint(0, 8))
+        long = self.draw.random() < 0.8
+        text = title + self.prose(1, self.draw.randint(1, 6) if long else 1) + inside + self.prose(1, self.draw.randint(0, 8) if long else 0)
         layout = self.draw.random()
         if layout < 0.35:
             main = self.element("article", 1, text, self.draw.choice(("", "", "post", "story")))
@@ -112,6 +113,8 @@ class _Pages:
             main = self.element("div", 0, main + some("aside", "comments"), self.draw.choice(("wrapper", "container", "row", "layout", "")))
         body = some("notice", "header", "nav", "ad", "nav", "form") + main + some("share", "comments", "aside", "ad", "form", "footer", "notice")
         head = f'<head {LABEL}="0"><title {LABEL}="0">{self.words(5, False)}</title><style>p{{}}</style><script>var t="<p>";</script></head>'
+        if layout < 0.9 and self.draw.random() < 0.15:  # a fragment, maybe with nothing around
+            return body if self.draw.random() < 0.5 else main
         end = "</body></html>" if self.draw.random() < 0.8 else ""
         return f'<!DOCTYPE html><html {LABEL}="0">{head}<body {LABEL}="{int(layout >= 0.9)}">{body}{end}'
 
