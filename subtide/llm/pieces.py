@@ -7,6 +7,7 @@ from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are turned into Python objects at once.
 SLICE_BYTES = 4 << 20
@@ -18,7 +19,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLIC
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.asarray(batch.column(column).cast(pa.large_binary()).fill_null(b"").to_pandas().str.len(), dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
