@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm.fm_index import FMIndex
 from subtide.llm.pieces import spans_of, text_slices
+from subtide.llm.scratch import store
 
 WINDOW = 10
 SHARD_BYTES = 16 << 20
@@ -179,11 +181,56 @@ def hit_words(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["b"] - s["a"])
 
 
+def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) -> DataFrame:
+    """remove_passages for several groups of items: a round searches the uncut texts for every
+    group, each task for one, and cuts the merged spans; cut texts meet all groups again."""
+    spans_type, carried = "array<struct<a:int,b:int>>", ["__row", "__spans"]
+    arrow_spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    schema = docs.select("*", F.lit(True).alias("__cut")).schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text):
+            texts, keep, hit = batch.column(text).to_pylist(), [], []
+            for i, found in enumerate(batch.column("__spans").to_pylist()):
+                hit.append(bool(found))
+                if found:
+                    texts[i] = cut_spans(texts[i], merge_spans([(x["a"], x["b"]) for x in found]))
+                keep.append(not found or WORD.search(texts[i]) is not None)
+            at = batch.schema.get_field_index(text)
+            batch = batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type)).drop_columns(carried)
+            yield batch.append_column("__cut", pa.array(hit)).filter(pa.array(keep))
+
+    doubtful, clean = docs, []
+    while True:
+        numbered = store(doubtful.withColumn("__row", F.monotonically_increasing_id()), "uncut")
+        hits = []
+        for name, items in groups:
+            def search(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
+                phrases = _phrases(name, items.value, window)
+                for batch in text_slices(batches, text, SHARD_BYTES):
+                    _, spans, _ = phrases.search(batch.column(text).to_pylist())
+                    found = [[{"a": a, "b": b} for a, b in s] for s in spans if s]
+                    rows = batch.column("__row").filter(pa.array([bool(s) for s in spans]))
+                    yield pa.RecordBatch.from_arrays([rows, pa.array(found, arrow_spans)], names=carried)
+
+            hits.append(numbered.select("__row", text).mapInArrow(search, f"__row long, __spans {spans_type}"))
+        found = reduce(DataFrame.unionByName, hits).groupBy("__row").agg(F.flatten(F.collect_list("__spans")).alias("__spans"))
+        searched = store(numbered.join(found, "__row", "left").select(*docs.columns, *carried).mapInArrow(cut, schema), "cut")
+        clean.append(searched.filter("NOT __cut").drop("__cut"))
+        doubtful = searched.filter("__cut").drop("__cut")
+        if doubtful.isEmpty():
+            return reduce(DataFrame.unionByName, clean)
+
+
 def remove_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """docs with its columns, benchmark passages cut out of the texts until no window is
-    left; a text that was cut and holds no word any more goes with its row."""
+    left; a text that was cut and holds no word any more goes with its row. The number of
+    groups of items changes no result."""
+    groups = list(_groups(benchmark, item, item_text))
+    if len(groups) > 1:
+        return _remove_in_rounds(docs, groups, text, window)
     cleaned = docs
-    for name, items in _groups(benchmark, item, item_text):
+    for name, items in groups:
         def clean(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
             phrases = _phrases(name, items.value, window)
             for batch in text_slices(batches, text, SHARD_BYTES):

@@ -89,3 +89,28 @@ def test_removal(spark):
     found = {r.doc_id: r.text for r in dc.remove_passages(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     assert found == {1: "Before, \n! After.", 3: "nothing of it", 4: None, 5: "", 6: "?!", 7: "\n tail"} or found[7].split() == ["tail"]
     assert 2 not in found
+
+
+def test_removal_does_not_depend_on_groups(spark, monkeypatch):
+    words = [f"w{i}" for i in range(40)]
+    say = lambda a, b: " ".join(words[a:b])
+    # windows that overlap, windows that close over another item's cut, and short items
+    items = [say(0, 10), say(5, 15), say(20, 32), say(28, 40), say(16, 19), "x y"]
+    texts = [
+        f"head {say(0, 15)} tail", f"head {say(20, 40)} tail", say(0, 15), f"head {say(0, 4)} {say(16, 19)} {say(4, 10)} tail",
+        f"head {say(20, 25)} {say(28, 33)} x y {say(33, 40)} {say(25, 32)} tail", f"x {say(5, 9)} {say(0, 10)} {say(9, 15)} y", "none of it", None, "?!", "x",
+    ]
+    rows = [(i % 8, t, "k") for i, t in enumerate(texts)] + [(0, texts[0], "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string").repartition(3)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = []
+    for group_bytes in (32 << 20, 200, 60):
+        monkeypatch.setattr(dc, "GROUP_BYTES", group_bytes)
+        cleaned = dc.remove_passages(docs, benchmark)
+        assert cleaned.columns == docs.columns
+        found.append(sorted(map(tuple, cleaned.collect()), key=repr))
+    assert found[0] == found[1] == found[2]
+    assert {t.split()[-1] for _, t, _ in found[0] if t and t.startswith("head")} == {"tail"} and len(found[0]) == 9
+    assert [t.split() for _, t, _ in found[0] if t and t.startswith("head")] == [["head", "tail"]] * 5
+    windows = windows_of([(str(i), t) for i, t in enumerate(items)])
+    assert not any(brute(t, windows)[1] for _, t, _ in found[0])
