@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from subtide.llm.labelled_pages import LABEL, labelled_pages
 from subtide.llm.pieces import text_slices
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
+#: A quote delimits a value only straight after "=", elsewhere it is a character like others.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(rf"\b(class|id|role|{LABEL})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Fixed values of HTML.

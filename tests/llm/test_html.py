@@ -66,6 +66,16 @@ def test_cases(model, page, expected):
     assert expected is None or found == expected
 
 
+def test_stray_quotes(model):
+    pages = [
+        "<article><a href=/it's>link</a><p>One, two.</p><p>We don't know.</p></article>",
+        "<article><img alt=\"5\" screen\" src=a.png><p>One, two.</p><p>We don't know.</p></article>",
+        "<article><p class=x' title = 'a > b' id=\"c>d\">One, two.</p><p>\"We\" don't know.</p></article>",
+    ]
+    assert hx.main_texts(pages, model) == ["link One, two. We don't know.", "One, two. We don't know.", "One, two. \"We\" don't know."]
+    assert hx.parse(pages[2]).names[2] == ("x", "c", "d")
+
+
 def test_deep_and_long_pages(model):
     deep = "<div>" * 3000 + "<p>in the deep, words.</p>"
     long = "<article>" + "<p>Some words, and some more.</p>" * 20_000 + "</article>"
