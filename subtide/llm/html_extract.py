@@ -26,13 +26,15 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"
 ATTRIBUTE = re.compile(rf"\b(class|id|role|{LABEL})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Fixed values of HTML.
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "title", "textarea", "select", "option", "object", "canvas", "math"}
-DROPPED = RAW  # their text is never main text
+RAW = {"script", "style", "noscript", "iframe", "title", "textarea"}
+FALLBACK = {"object", "canvas", "template"}  # may hold blocks; without an end tag they end before the next one
+DROPPED = FALLBACK | {"svg", "math", "select", "option"}  # their text is never main text
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var".split())
 CLOSES = {  # an opening tag ends open elements of these kinds, up to the barrier
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
     "tbody": ({"tr", "td", "th", "thead", "tbody"}, {"table"}), "body": ({"head"}, set()),
 }
 ENDS_PARAGRAPH = set(
@@ -58,27 +60,42 @@ class Page:
 
 def parse(page: str | None, labelled: bool = False) -> Page:
     """Elements that only style text are part of the element around them, unless named.
-    Whatever is not closed ends with its parent; an unmatched end tag ends nothing."""
+    Whatever is not closed ends with its parent; an unmatched end tag ends nothing. Elements
+    whose text is dropped have no variable, nor has what stands in them."""
     out = Page(["#"], [NOWHERE], [()], [0], [], [0])
     if not page:
         return out
-    stack: list[tuple[str, int]] = [("#", 0)]  # open tags and their elements
-    block = links = at = 0
+    stack: list[tuple[str, int, bool]] = [("#", 0, False)]  # open tags, their elements, and whether blocks and end tags stay inside
+    block = links = at = dropped = 0
+    ended_at: dict[str, set[int]] = {}
 
     def text(until: int) -> None:
-        if until > at:
+        if until > at and not dropped:
             raw = page[at:until]
             if not raw.isspace():
                 out.linked[stack[-1][1]] += len(raw) * (links > 0)
             out.pieces.append((stack[-1][1], block, raw))
 
     def close(depth: int) -> None:
-        nonlocal block, links
-        for tag, _ in stack[depth:]:
+        nonlocal block, links, dropped
+        for tag, *_ in reversed(stack[depth:]):
             links -= tag == "a"
-            block += tag not in INLINE
+            block += not dropped and tag not in INLINE
+            dropped -= tag in DROPPED
         del stack[depth:]
 
+    def has_end(tag: str, start: int) -> bool:
+        """Whether the element that starts there has an end tag of its own."""
+        if tag not in ended_at:
+            ended_at[tag], starts = set(), []
+            for m in TAG.finditer(page):
+                if m[2] is not None and m[2].lower() == tag and not m[3].endswith("/"):
+                    if not m[1]:
+                        starts.append(m.start())
+                    elif starts:
+                        ended_at[tag].add(starts.pop())
+        return start in ended_at[tag]
+
     while (match := TAG.search(page, at)) is not None:
         text(match.start())
         at = match.end()
@@ -90,25 +107,31 @@ def parse(page: str | None, labelled: bool = False) -> Page:
                 if stack[depth][0] == tag:
                     close(depth)
                     break
-                if tag in INLINE and stack[depth][0] not in INLINE:
+                if tag in INLINE and stack[depth][0] not in INLINE or stack[depth][2]:
                     break
             continue
+        if dropped and tag in ENDS_PARAGRAPH and tag not in VOID:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth][2] or stack[depth][0] == "foreignobject":
+                    break
+                if stack[depth][0] in DROPPED:
+                    close(depth)
         if tag in ENDS_PARAGRAPH:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":
                     close(depth)
                     break
-                if stack[depth][0] in PARAGRAPH_BARRIER:
+                if stack[depth][0] in PARAGRAPH_BARRIER or stack[depth][2]:
                     break
         if tag in CLOSES:
             ended, barrier = CLOSES[tag]
             for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in barrier:
+                if stack[depth][0] in barrier or stack[depth][2]:
                     break
                 if stack[depth][0] in ended:
                     close(depth)
         if tag in VOID:
-            block += tag in ("br", "hr")
+            block += not dropped and tag in ("br", "hr")
             continue
         names: list[str] = []
         label = None
@@ -126,7 +149,7 @@ def parse(page: str | None, labelled: bool = False) -> Page:
             at = end.end() if end else len(page)
             continue
         node = stack[-1][1]
-        if tag not in INLINE or names:
+        if not dropped and tag not in DROPPED and (tag not in INLINE or names):
             block += tag not in INLINE
             node = len(out.tags)
             out.tags.append(tag)
@@ -136,7 +159,8 @@ def parse(page: str | None, labelled: bool = False) -> Page:
             out.linked.append(0)
         links += tag == "a"
         if not match[3].endswith("/") or tag in INLINE or tag in ENDS_PARAGRAPH:
-            stack.append((tag, node))
+            stack.append((tag, node, tag in FALLBACK and has_end(tag, match.start())))
+            dropped += tag in DROPPED
     text(len(page))
     return out
 

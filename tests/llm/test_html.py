@@ -76,6 +76,17 @@ def test_stray_quotes(model):
     assert hx.parse(pages[2]).names[2] == ("x", "c", "d")
 
 
+@pytest.mark.parametrize("start", [
+    "<datalist><option value=a><option value=b></datalist>", "<select><option>a<option selected>b</select>", "<select><optgroup label=x><option>a<optgroup label=y><option>b</select>",
+    "<div><object data=x></div>", "<object data=x>no", "<svg><path d=x>", "<svg/>", "<div><canvas></div>", "<select><option>a", "<math><mi>x", "<template>",
+    "<svg><svg><text>no</text></svg><text>no, no.</text></svg>", "<template><template><p>no</p></template><p>no, no.</p></template>",
+    "<object><object><p>no</p></object><div>no, no.</div></object>", "<svg><foreignObject><div>no, no.</div></foreignObject></svg>", "<noscript><p>no</p></noscript>",
+])
+def test_dropped_elements_end(model, start):
+    article = "<article><p>One, two <svg><path d=x></svg>three.</p><p>Four, <object><p>no</p></object>five.</p></article>"
+    assert hx.main_texts([start + article], model) == ["One, two three. Four, five."]
+
+
 def test_deep_and_long_pages(model):
     deep = "<div>" * 3000 + "<p>in the deep, words.</p>"
     long = "<article>" + "<p>Some words, and some more.</p>" * 20_000 + "</article>"
