@@ -96,3 +96,17 @@ def test_empty_tables(spark, tmp_path):
 
 def test_dedup_keeps_rows_of_odd_ids(spark, odd):
     assert np.unique([fingerprint(r.text) for r in simhash.deduplicate(odd).collect()]).size >= 5
+
+
+def test_edited_copies_follow_the_four_bits(spark):
+    """A changed word in a long text is linked; in a short one of similarity over 0.8 it is not."""
+    rng = random.Random(3)
+    say = lambda n: ["".join(rng.choice("aeiourstln") for _ in range(rng.randint(3, 9))) for _ in range(n)]
+    long, short = say(3000), say(60)
+    texts = [" ".join(x) for x in (long, [*long[:1500], "edited", *long[1501:]], short, [*short[:30], "edited", *short[31:]])]
+    distance = [(fingerprint(texts[k]) ^ fingerprint(texts[k + 1])).bit_count() for k in (0, 2)]
+    runs = [{tuple(t.split()[i: i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    assert all(len(runs[k] & runs[k + 1]) >= 0.8 * len(runs[k] | runs[k + 1]) for k in (0, 2))
+    assert distance[0] <= 4 < distance[1]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, SF_DIR).collect()} == {0, 2, 3}
