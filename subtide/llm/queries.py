@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, collision_ann, decontaminate, html_extract, interpolated_lm, sharding, simhash, token_files, toxicity, url_rules
+from subtide.llm import byte_bpe, collision_ann, decontaminate, html_extract, interpolated_lm, sharding, simhash, spelling, token_files, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,11 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rules_table(spark))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), least_letters=7, omit_every=31)
+    return spelling.group_variants(words, ratio=10, least_count=2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
     "op2_string_kernel_toxicity": op2_string_kernel_toxicity,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_tree_model_extraction": op8_tree_model_extraction,
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_url_rules": op10_url_rules,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
