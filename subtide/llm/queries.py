@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtide.llm import byte_bpe, collision_ann, decontaminate, html_extract, interpolated_lm, sharding, simhash, spelling, token_files, toxicity, url_rules
+from subtide.llm import byte_bpe, collision_ann, decontaminate, html_extract, interpolated_lm, packing, sharding, simhash, spelling, token_files, toxicity, url_rules, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(words, ratio=10, least_count=2)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+def op13_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simple8b_tokens": op1_simple8b_tokens,
     "op2_string_kernel_toxicity": op2_string_kernel_toxicity,
@@ -99,6 +107,8 @@ QUERIES: dict[str, Query] = {
     "op9_fm_index_decontamination": op9_fm_index_decontamination,
     "op10_url_rules": op10_url_rules,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_sum_of_squares_packing": op13_sum_of_squares_packing,
 }
 
 ORACLE: dict[str, str] = {

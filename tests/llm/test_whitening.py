@@ -1,0 +1,119 @@
+"""Whitened components against numpy's eigenvectors, and odd tables."""
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from subtide.llm import whitening
+from subtide.llm.queries import QUERIES
+
+
+def check_pairs(matrix, k):
+    values, vectors = whitening.leading_components(matrix, k)
+    exact = np.linalg.eigvalsh(matrix)[::-1][: len(values)]
+    scale = np.abs(matrix).max()
+    assert np.abs(values - exact).max() <= 1e-13 * scale * len(matrix)
+    assert np.abs(vectors @ vectors.T - np.eye(len(values))).max() < 1e-11
+    assert np.abs(vectors @ matrix - values[:, None] * vectors).max() <= 1e-12 * scale * len(matrix)
+    return values
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 64, 200])
+def test_eigenpairs_of_random_matrices(n):
+    a = np.random.default_rng(n).standard_normal((n, 3 * n))
+    assert len(check_pairs(a @ a.T, 8)) == min(n, 8)
+
+
+def test_eigenpairs_of_odd_matrices():
+    rng = np.random.default_rng(0)
+    q, _ = np.linalg.qr(rng.standard_normal((40, 40)))
+    close = np.concatenate([[9, 9, 9, 9 - 1e-14, 9 - 1e-9, 3, 3, 3 - 1e-12], np.linspace(1, 0, 32)])
+    check_pairs((q * close) @ q.T, 8)
+    check_pairs(np.eye(12), 8)  # all eigenvalues equal, nothing off the diagonal
+    check_pairs(np.diag(np.arange(1.0, 20)), 8)
+    check_pairs(np.kron(np.eye(5), [[2.0, 1.0], [1.0, 2.0]]), 8)
+    check_pairs(1e-200 * np.diag([4.0, 2, 1]), 3)
+    check_pairs(1e200 * np.diag([4.0, 2, 1]), 3)
+    assert len(check_pairs(np.outer(np.arange(5.0), np.arange(5.0)), 5)) == 1
+    assert len(whitening.leading_components(np.zeros((4, 4)), 4)[0]) == 0
+
+
+def test_sturm_counts():
+    rng = np.random.default_rng(1)
+    d, o = rng.standard_normal(30), rng.standard_normal(29)
+    o[10] = 0
+    values = np.linalg.eigvalsh(np.diag(d) + np.diag(o, 1) + np.diag(o, -1))
+    at = np.concatenate([values - 1e-9, values + 1e-9])
+    assert (whitening.sturm_counts(d, o, at) == (values[None, :] < at[:, None]).sum(axis=1)).all()
+
+
+def plain(vectors, k=8):
+    x = np.floor(1024 * np.asarray(vectors, dtype=np.float64)).astype(np.int64) + 100_000
+    n, total = len(x), [sum(map(int, column)) for column in x.T]
+    mean = np.array([float(Fraction(t, n)) for t in total])
+    covariance = (x - mean).T @ (x - mean) / n
+    values, directions = np.linalg.eigh(covariance)
+    values, directions = values[::-1][:k], directions[:, ::-1][:, :k]
+    deviation = [sum((n * int(a) - t) ** 2 for a, t in zip(row, total)) for row in x]
+    return n, deviation, (x - mean) @ directions / np.sqrt(values), values / np.trace(covariance)
+
+
+def assert_equal(rows, ids, vectors, k=8):
+    n, deviation, whitened, explained = plain(vectors, k)
+    found = {(r.vec_id, r.component): r for r in rows}
+    assert len(found) == len(rows) == len(ids) * k
+    for j in range(k):
+        own = np.array([found[i, j + 1].whitened for i in ids])
+        sign = np.sign(own @ whitened[:, j])
+        assert np.abs(own - sign * whitened[:, j]).max() < 1e-8
+        assert [found[i, j + 1].deviation for i in ids] == deviation
+        assert {found[i, j + 1].n for i in ids} == {n}
+        assert found[ids[0], j + 1].explained == pytest.approx(explained[j], rel=1e-10)
+        assert found[ids[0], j + 1].identity_error < 1e-9
+
+
+def test_the_query_equals_plain_computation(spark):
+    path = "/root/testdata/sf0.01"
+    rows = QUERIES["op12_embedding_whitening"](spark, path).collect()
+    given = spark.read.parquet(f"{path}/embeddings.parquet").collect()
+    assert_equal(rows, [r.vec_id for r in given], [r.embedding for r in given])
+
+
+def test_partials_of_many_tasks_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "MERGE", 3)
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((300, 5)) * [3, 1, 0.5, 0.2, 0.1]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(20)
+    assert_equal(whitening.whiten(df, 3).collect(), list(range(300)), vectors, 3)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [[1.0, 0.0], [0.5, 2.0], [-1.0, 1.0], [0.25, -0.25]]
+    rows = [(i, v) for i, v in enumerate(good)]
+    odd = [(9, None), (10, []), (11, [nan, 1.0]), (12, [inf, 1.0]), (13, [None, 1.0]), (14, [1e300, 0.0])]
+    lone = [(20, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows + odd + lone, "vec_id long, embedding array<double>").selectExpr("*", "1 AS n", "2 AS dims", "3 AS x", "4 AS part")
+    assert_equal(whitening.whiten(df).collect(), [0, 1, 2, 3], good, 2)
+    assert whitening.whiten(df.filter("vec_id >= 9")).collect() == []
+    assert whitening.whiten(df.limit(0)).collect() == []
+    copies = spark.createDataFrame([(None, [1.0, 2.0]), (None, [1.0, 2.0]), (1, [2.0, 3.0])], "vec_id long, embedding array<double>")
+    found = whitening.whiten(copies).collect()
+    assert [r.vec_id for r in found if r.component == 1].count(None) == 2 and {r.component for r in found} == {1}
+    assert whitening.whiten(copies.filter("vec_id IS NULL")).collect() == []
+
+
+def test_lengths_are_fitted_apart(spark):
+    rng = np.random.default_rng(4)
+    two, three = rng.standard_normal((30, 2)), rng.standard_normal((40, 3))
+    rows = [(i, v.tolist()) for i, v in enumerate(two)] + [(100 + i, v.tolist()) for i, v in enumerate(three)]
+    found = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert_equal([r for r in found if r.vec_id < 100], list(range(30)), two.astype(np.float32), 2)
+    assert_equal([r for r in found if r.vec_id >= 100], list(range(100, 140)), three.astype(np.float32), 3)
+
+
+def test_deviations_beyond_64_bits_are_null():
+    x = np.array([[1 << 40], [0]])
+    assert whitening.squared_deviations(x, 2, np.array([1 << 40], dtype=object)) == [None, None]
+    assert (whitening.centred(np.array([[1 << 50], [0]]), 1 << 20, np.array([1 << 60], dtype=object)) == [[2.0**50 - 2.0**40], [-(2.0**40)]]).all()
