@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtide.llm.pieces import PieceTable, text_slices
+from subtide.llm.pieces import PieceTable, spans_of, text_slices
 
 SEQUENCE = 2048
 END_ID = 1
@@ -42,6 +42,9 @@ BATCH = 256
 CUT = re.compile(r"\s*\S+|\s+")
 #: White space to Python, but not to the pattern.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
+WORD = re.compile(r" \S+")
+#: Pieces the library is asked for at once, and pieces a worker remembers.
+LINES, TABLE_ROWS = 4096, 700_000
 _encoders: dict[int, Callable] = {}
 
 
@@ -76,7 +79,32 @@ def encoder(tokenizer_json: bytes) -> Callable[[list[str | None]], tuple[np.ndar
         counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
 
-    table = PieceTable(ask)
+    feed = ask(["\n"])[0]
+
+    def ask_lines(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``ask``, for pieces of a space and a word each: as lines of one text, which
+        spares the library an encoding for each. A line feed before a space is a match of
+        its own, so it stands between the words' ids."""
+        ids = np.array(tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        between = np.flatnonzero(ids == feed[0])
+        if len(feed) > 1 or len(between) != len(words) - 1:  # an added token took a space
+            return ask(words)
+        ends = np.concatenate([[-1], between, [len(ids)]])
+        return np.delete(ids, between), np.diff(ends) - 1
+
+    def ask_all(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        is_word = np.fromiter((WORD.fullmatch(p) is not None for p in pieces), dtype=bool, count=len(pieces))
+        order = np.argsort(~is_word, kind="stable")
+        words = int(is_word.sum())
+        cuts = [*range(0, words, LINES), *range(words, len(pieces), LINES), len(pieces)]
+        parts = [(ask_lines if a < words else ask)([pieces[i] for i in order[a:b].tolist()]) for a, b in zip(cuts, cuts[1:])]
+        ids, counts = (np.concatenate(held) for held in zip(*parts))
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        starts = (np.cumsum(counts) - counts)[back]
+        return ids[spans_of(starts, counts[back])], counts[back]
+
+    table = PieceTable(ask_all, TABLE_ROWS)
 
     def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if not cuts:
