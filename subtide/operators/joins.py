@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _TAG = "_key_tag"
@@ -51,42 +51,55 @@ def left_join_from(
     return pairs.unionByName(alone, allowMissingColumns=True)
 
 
-def first_within_days(
-    opens: DataFrame, hits: DataFrame, key: str, opened_at: str, hit_at: str, days: int, out: str
+def first_hit_within_days(
+    rows: DataFrame, key: str, at: str, opens: Column, hits: Column, days: int, out: str
 ) -> DataFrame:
-    """Per key, the first hit that lies after some opening and within ``days`` of it.
-
-    A hit counts if ``opened_at < hit_at <= opened_at + days`` for any opening of
-    the key. Pairing openings with hits grows with the square of a key's rows.
-    Instead the time line is cut into periods of ``days`` days:
-
-    * an opening in the same period precedes a hit exactly if the period's first
-      opening does, and is never too old;
-    * an opening in the period before always precedes it, and is recent enough
-      exactly if that period's last opening is;
-    * older openings are too old.
-
-    So the first and last opening of each key and period decide, and each hit
-    meets at most two rows.
+    """Per key, the first row with ``hits`` that lies after some row with ``opens`` and
+    within ``days`` of it: (key, out), for keys that have one.
+
+    A hit counts if ``opened < hit <= opened + days`` for any opening of the key. Pairing
+    them grows with the square of a key's rows; here the rows are read once and shuffled
+    once. They are dealt by key and hour, so a hot key is spread over its hours, and sorted
+    in them. Of an hour only four times matter: the last opening, the first hit, and the
+    first hit after one of its own openings, which is always recent enough. A key's hours
+    then follow each other: a hit in a later hour than an opening comes after it, and is
+    recent enough if it is within reach of the latest one; the first hit of an hour is if
+    any of its hits is.
+
+    Rows without a key or a time take no part.
     """
-    def period(ts: str) -> Column:
-        return F.floor(F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")) / days).alias("period")
-
-    extremes = (
-        opens.filter(F.col(key).isNotNull())
-        .groupBy(key, period(opened_at))
-        .agg(F.min(opened_at).alias("first"), F.max(opened_at).alias("last"))
+    stamp = F.col("_at")
+    narrow = rows.filter(F.col(key).isNotNull() & F.col(at).isNotNull() & (opens | hits)).select(
+        key, F.col(at).alias("_at"), F.when(opens, F.col(at)).alias("_open"), F.when(hits, F.col(at)).alias("_hit")
+    )
+    hourly = narrow.withColumn("_hour", F.date_trunc("hour", stamp).cast("timestamp_ntz"))
+    # rows of one time are each other's peers, so an opening is earlier only if it is before
+    so_far = Window.partitionBy(key, "_hour").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    hours = (
+        hourly.withColumn("_first", F.min("_open").over(so_far))
+        .groupBy(key, "_hour")
+        .agg(
+            F.max("_open").alias("_last"),
+            F.min("_hit").alias("_any"),
+            F.min(F.when(F.col("_first") < F.col("_hit"), F.col("_hit"))).alias("_own"),
+        )
     )
-    never = F.lit(None).cast("timestamp_ntz")
-    until = F.col("last") + F.make_dt_interval(F.lit(days))
-    windows = extremes.select(key, F.inline(F.array(
-        F.struct("period", F.col("first").alias("after"), never.alias("until")),
-        F.struct((F.col("period") + 1).alias("period"), never.alias("after"), until.alias("until")),
-    )))
-    candidates = hits.filter(F.col(key).isNotNull()).select(key, period(hit_at), hit_at)
+    earlier = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    until = F.max("_last").over(earlier) + F.make_dt_interval(F.lit(days))
     return (
-        hash_join(candidates, windows, [key, "period"], "inner")
-        .filter((F.col(hit_at) > F.col("after")) | (F.col(hit_at) <= F.col("until")))
+        hours.withColumn("_until", until)
+        .withColumn("_found", F.least(F.col("_own"), F.when(F.col("_any") <= F.col("_until"), F.col("_any"))))
         .groupBy(key)
-        .agg(F.min(hit_at).alias(out))
+        .agg(F.min("_found").alias(out))
+        .filter(F.col(out).isNotNull())
+    )
+
+
+def first_within_days(
+    opens: DataFrame, hits: DataFrame, key: str, opened_at: str, hit_at: str, days: int, out: str
+) -> DataFrame:
+    """As ``first_hit_within_days``, for openings and hits in two tables."""
+    both = opens.select(key, F.col(opened_at).alias("at"), F.lit(True).alias("opens")).unionByName(
+        hits.select(key, F.col(hit_at).alias("at"), F.lit(False).alias("opens"))
     )
+    return first_hit_within_days(both, key, "at", F.col("opens"), ~F.col("opens"), days, out)

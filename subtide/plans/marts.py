@@ -20,7 +20,7 @@ from subtide.functions.scalars import (
     to_hours,
     week_of,
 )
-from subtide.operators.joins import first_within_days, hash_join, left_join_from
+from subtide.operators.joins import first_hit_within_days, hash_join, left_join_from
 from subtide.operators.rows import stack
 from subtide.schemas import FREE_PLAN
 
@@ -122,10 +122,11 @@ def failures(payments: DataFrame) -> DataFrame:
 
 
 def payment_recoveries(payments: DataFrame) -> DataFrame:
-    """Per subscription, the first success within 7 days after any of its failures."""
-    successes = payments.filter(F.col("payment_status") == "success").select("subscription_id", "payment_ts")
-    return first_within_days(
-        failures(payments), successes, "subscription_id", "failed_at", "payment_ts", RECOVERY_DAYS, "recovered_at"
+    """Per subscription, the first success within 7 days after any of its failures, from one
+    scan of the payments."""
+    status = F.col("payment_status")
+    return first_hit_within_days(
+        payments, "subscription_id", "payment_ts", status == "failed", status == "success", RECOVERY_DAYS, "recovered_at"
     )
 
 

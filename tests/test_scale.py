@@ -152,12 +152,14 @@ def hot_payments(spark, n):
 
 
 def test_recoveries_do_not_pair_rows(spark, conf):
-    """One subscription with thousands of failures and successes stays linear."""
+    """One subscription with thousands of failures and successes stays linear: its rows are
+    joined with nothing, and dealt to tasks by the hour."""
     shuffled(conf)
     payments = hot_payments(spark, 30000)
     recovered = marts.payment_recoveries(payments)
-    joined = re.findall(r"SortMergeJoin.*", final_plan(recovered))
-    assert len(joined) == 1 and "period" in joined[0]
+    plan = final_plan(recovered)
+    assert "Join" not in plan
+    assert re.search(r"Exchange hashpartitioning\(subscription_id#\d+, _hour#\d+, 8\)", plan)
     assert [(r.subscription_id, str(r.recovered_at)) for r in recovered.collect()] == [("hot", "2024-01-01 00:03:00")]
 
     mart = marts.mart_payment_failures(payments)
@@ -166,6 +168,20 @@ def test_recoveries_do_not_pair_rows(spark, conf):
     assert mart.count() == 15000
 
 
+def test_recoveries_take_one_scan_and_the_mart_four_shuffles(spark, tmp_path, conf):
+    shuffled(conf)
+    conf(spark__sql__adaptive__enabled="false")
+    silver.silver_payments(spark.createDataFrame([], RAW_SCHEMAS["payments"])).write.parquet(f"{tmp_path}/payments")
+    payments = stage("payments", spark.read.parquet(f"{tmp_path}/payments"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    recoveries = plan(marts.payment_recoveries(payments))
+    assert (recoveries.count("FileScan"), recoveries.count("Exchange hashpartitioning")) == (1, 2)
+    assert plan(marts.mart_payment_failures(payments)).count("Exchange hashpartitioning") == 4
+
+
 def test_deduplication_limits_copies_before_the_shuffle(spark):
     rows = spark.range(0, 20000, 1, 8).select(
         *[
