@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from subtide.functions.scalars import timestamp_or_now
 
 
-def with_lineage(df: DataFrame, source_file: str, ingested_at: str | dt.datetime | None = None) -> DataFrame:
+def with_lineage(df: DataFrame, source_file: str | Column, ingested_at: str | dt.datetime | None = None) -> DataFrame:
+    """df and where it came from: when, and the name of its file or a column that holds it."""
     return df.withColumns({
         "_ingested_at": timestamp_or_now(ingested_at),
-        "_source_file": F.lit(source_file),
+        "_source_file": source_file if isinstance(source_file, Column) else F.lit(source_file),
     })
 
 

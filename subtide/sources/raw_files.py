@@ -1,34 +1,53 @@
-"""Readers of the raw extracts: CSV with a header, and JSON records."""
+"""Readers of the raw extracts: CSV with a header, and JSON records.
+
+Each can name the file a row came from in a column of its own, from the scan's hidden file
+metadata.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subtide.operators.rows import with_lineage
 from subtide.schemas import RAW_FILES, RAW_SCHEMAS, TABLES
+from subtide.sources.quoted_csv import records_of
+
+
+def _file_name(column: str | None) -> list[Column]:
+    return [F.col("_metadata.file_name").alias(column)] if column else []
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False, file_column: str | None = None
+) -> DataFrame:
     """CSV with a header line and doubled quotes; empty fields, quoted or not, are NULL.
 
     A row with too many or too few fields fails the read. ``multiline`` accepts line
-    breaks inside quotes, at the price of one task per file.
+    breaks inside quotes, at the price of a pass over the files that counts quotes; a large
+    file is still read by many tasks (``sources.quoted_csv``).
     """
-    return spark.read.schema(schema).csv(
-        path, header=True, multiLine=multiline, enforceSchema=False, escape='"', mode="FAILFAST"
-    )
+    options = {"escape": '"', "mode": "FAILFAST"}
+    if not multiline:
+        rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=False, **options)
+        return rows.select("*", *_file_name(file_column))
+    record = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options | {"multiLine": "true"})
+    named = [F.col("file").alias(file_column)] if file_column else []
+    return records_of(spark, path, schema.names).select(F.inline(F.array(record)), *named)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """The text before each opening brace, and the last one's rest."""
-    return spark.read.text(path, lineSep="{").select(F.trim(F.col("value"), F.lit(" \t\r\n\ufeff")).alias("piece"))
+    trimmed = F.trim(F.col("value"), F.lit(" \t\r\n\ufeff")).alias("piece")
+    return spark.read.text(path, lineSep="{").select(trimmed, *_file_name("file"))
 
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType, layout: str = "array") -> DataFrame:
+def read_json_records(
+    spark: SparkSession, path: str, schema: T.StructType, layout: str = "array", file_column: str | None = None
+) -> DataFrame:
     """Flat JSON objects. ``layout`` says how they lie in the files:
 
     * ``array``: an array over any number of lines. Spark's own array reader gives a
@@ -40,15 +59,16 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, layo
     * ``whole``: any layout and any text, one task per file.
     """
     if layout == "whole":
-        return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
+        return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").select("*", *_file_name(file_column))
     if layout == "lines":
-        return spark.read.schema(schema).json(path, mode="FAILFAST")
+        return spark.read.schema(schema).json(path, mode="FAILFAST").select("*", *_file_name(file_column))
     if layout != "array":
         raise ValueError(f"layout {layout!r} is none of array, lines, whole")
     body = F.rtrim(F.col("piece"), F.lit(" \t\r\n],"))
     record = F.from_json(F.concat(F.lit("{"), body), schema, {"mode": "FAILFAST"})
     # Generated columns keep each object to one parse, whatever filters follow.
-    return _pieces(spark, path).filter(~body.isin("", "[")).select(F.inline(F.array(record)))
+    pieces = _pieces(spark, path).filter(~body.isin("", "["))
+    return pieces.select(F.inline(F.array(record)), *([F.col("file").alias(file_column)] if file_column else []))
 
 
 def require_closed_arrays(spark: SparkSession, path: str) -> None:
@@ -65,25 +85,26 @@ def require_closed_arrays(spark: SparkSession, path: str) -> None:
 
 
 def read_raw(
-    spark: SparkSession, folder: str, name: str, multiline: bool = False, layout: str = "array"
+    spark: SparkSession, folder: str, name: str, multiline: bool = False, layout: str = "array", file_column: str | None = None
 ) -> DataFrame:
     """A raw extract; ``multiline`` is for CSV, ``layout`` for JSON."""
     path = f"{folder.rstrip('/')}/{RAW_FILES[name]}"
     if not path.endswith(".json"):
-        return read_csv(spark, path, RAW_SCHEMAS[name], multiline)
+        return read_csv(spark, path, RAW_SCHEMAS[name], multiline, file_column)
     if layout == "array":
         require_closed_arrays(spark, path)
-    return read_json_records(spark, path, RAW_SCHEMAS[name], layout)
+    return read_json_records(spark, path, RAW_SCHEMAS[name], layout, file_column)
 
 
 def bronze_tables(
     spark: SparkSession, folder: str, ingested_at: str | dt.datetime | None = None,
     multiline: bool = False, layout: str = "array",
 ) -> dict[str, DataFrame]:
-    """All raw extracts as they are, with lineage columns; all carry the same time."""
+    """All raw extracts as they are, with lineage columns: one time for all, and the file
+    that each row was read from."""
     if ingested_at is None:
         ingested_at = spark.range(1).select(F.localtimestamp()).first()[0]
     return {
-        name: with_lineage(read_raw(spark, folder, name, multiline, layout), RAW_FILES[name], ingested_at)
+        name: with_lineage(read_raw(spark, folder, name, multiline, layout, "_file"), F.col("_file"), ingested_at).drop("_file")
         for name in TABLES
     }
