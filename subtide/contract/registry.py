@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subtide.functions.scalars import as_timestamp, as_whole_number, lower_label
-from subtide.operators.rows import duplicate_keys, row_counts, with_lineage
+from subtide.operators.rows import duplicate_keys, row_counts, stack, with_lineage
 from subtide.plans import marts, quality, silver
 from subtide.plans.staging import stage, staging_tables
 from subtide.schemas import EVENT_KEY, RAW_FILES, TABLES
@@ -60,6 +61,29 @@ def _dq_checks_on_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of each table were left out for each reason."""
+    return stack([
+        silver.rejected(name, raw_table(spark, sf_dir, name)).groupBy("reason").agg(F.count("*").alias("n"))
+        .select(F.lit(name).alias("table"), "reason", "n")
+        for name in TABLES
+    ])
+
+
+def _row_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def counted(role: str, name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("n")).select(F.lit(role).alias("role"), F.lit(name).alias("table"), "n")
+
+    raw = {name: raw_table(spark, sf_dir, name) for name in TABLES}
+    copies = quality.key_copies(silver.typed_events(raw["content_events"]), EVENT_KEY)
+    return quality.row_accounting(stack([
+        *(counted("bronze", name, df) for name, df in raw.items()),
+        *(counted("silver", name, clean(raw[name])) for name, clean in silver.SILVER.items()),
+        *(counted("rejected", name, silver.rejected(name, df)) for name, df in raw.items()),
+        copies.select(F.lit("duplicate").alias("role"), F.lit("content_events").alias("table"), "n"),
+    ]))
+
+
 def _bronze(name: str) -> Query:
     return _raw(name, lambda df: with_lineage(df, RAW_FILES[name], INGESTED_AT))
 
@@ -69,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "bronze_events": _raw("content_events", lambda df: with_lineage(df, "content_events.json", INGESTED_AT)),
     **{f"silver_{name}": _raw(name, clean) for name, clean in silver.SILVER.items()},
     "duplicate_events": _raw("content_events", lambda df: duplicate_keys(silver.typed_events(df), EVENT_KEY)),
+    "rejected_rows": _rejected_rows,
+    "rejected_payments": _raw("payments", lambda df: silver.rejected("payments", df).select("reason", "raw.*")),
+    "row_accounting": _row_accounting,
     "stg_users": _staged(lambda users: users, "users"),
     "trial_paid_pairs": _staged(marts.trial_paid_pairs, "subscriptions"),
     "payment_recoveries": _staged(marts.payment_recoveries, "payments"),

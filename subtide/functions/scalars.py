@@ -11,13 +11,19 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtide.schemas import UNKNOWN
 
 NTZ = "timestamp_ntz"
-TIMESTAMP_FORM = r"^\d{4,6}[-/]\d{1,2}[-/]\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?)?$"
+#: A date, and perhaps a time of at least hours and minutes; after a time perhaps a zone
+#: (Z, an offset, or a name after a space) and spaces.
+TIMESTAMP_FORM = (
+    r"^\s*(\d{4,6})([-/])(\d{1,2})\2(\d{1,2})"
+    r"(?:(?: +|T)(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d*)?)?)"
+    r"(?: *(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)|(?<! ) [A-Za-z0-9_/+-]+)? *)?\z"
+)
 
 
 def lower_label(name: str) -> Column:
@@ -41,11 +47,35 @@ def label_or_none(name: str) -> Column:
 
 def as_timestamp(name: str) -> Column:
     """Text of the form year-month-day, with or without a time of at least hours and
-    minutes, to a timestamp. Single digits, slashes for dashes and fractions of a second
-    are fine; text of another form, padded text too, gives NULL.
+    minutes, to a timestamp; single digits, slashes for dashes and fractions of a second
+    are fine.
+
+    A time may be followed by a zone and by spaces. The zone is read over and the time kept
+    as it is written, which is what a timestamp without zone means. Text of another form,
+    such as a padded date without a time, gives NULL.
+
+    Whole times of two digits, by far the most, are told by a few characters; only other
+    text is matched with the pattern.
     """
     text = F.col(name)
-    return F.when(text.rlike(TIMESTAMP_FORM), F.translate(text, "/", "-").try_cast(NTZ))
+
+    def char(place: int) -> Column:
+        return F.substring(text, place, 1)
+
+    plain = (
+        F.length(text).between(19, 26) & (char(14) == ":") & (char(17) == ":") & char(20).isin("", ".")
+        & char(1).between("0", "9") & F.substring(text, -1, 1).between("0", "9")
+    )
+    common = F.when(plain, text.try_cast(NTZ))
+    rewritten = F.regexp_replace(text, TIMESTAMP_FORM, "$1-$3-$4 $5").try_cast(NTZ)
+    return F.coalesce(common, F.when(text.rlike(TIMESTAMP_FORM), rewritten))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df and the columns, as generated ones: a filter on such a column is evaluated after
+    it, where one on a projected column would compute it once more before."""
+    made = F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))
+    return df.select("*", F.inline(made))
 
 
 def as_number(name: str, kind: str) -> Column:

@@ -1,7 +1,9 @@
 """The whole flow: raw extracts to bronze, silver and gold tables, and CSV exports.
 
 Each layer is written before the next reads it, so no plan grows over more than one
-layer, and after a failure ``build_all(start=...)`` goes on from the layers that exist.
+layer, and after a failure ``build_all(start=...)`` goes on from the layers that exist. A
+table is replaced in one step once its new files are whole (``sources.versions``); until
+then, and if the write fails, readers get the version before.
 """
 
 from __future__ import annotations
@@ -10,18 +12,21 @@ import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subtide.operators.rows import row_counts
 from subtide.plans.marts import mart_tables
-from subtide.plans.quality import dq_checks
-from subtide.plans.silver import silver_tables
+from subtide.plans.quality import accounted_rows, dq_checks, key_copies, row_accounting
+from subtide.plans.silver import checked, longest_watch
 from subtide.plans.staging import create_staging_views, staging_tables
-from subtide.schemas import MARTS, RAW_SCHEMAS, TABLES
-from subtide.sinks.writers import export_csv, run_together, write_events, write_table
-from subtide.sources.layers import existing_tables, read_layer
+from subtide.schemas import EVENT_KEY, MARTS, RAW_SCHEMAS, TABLES
+from subtide.sinks.writers import REJECTS, export_csv, run_together, write_checked, write_events, write_table
+from subtide.sources.layers import existing_tables, read_layer, read_table, stored_counts
 from subtide.sources.raw_files import bronze_tables
+from subtide.sources.versions import remove_unpublished
 
 LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
+#: Valid events before deduplication; every other silver table is valid rows alone.
+VALID = "valid"
 
 
 def build_bronze(
@@ -33,11 +38,19 @@ def build_bronze(
 
 
 def build_silver(spark: SparkSession, base: str) -> None:
-    silver = silver_tables(read_layer(spark, base, "bronze", TABLES))
+    """Every bronze table is read once, into silver and rejects. Events lie in between as
+    valid ones, which are then deduplicated."""
+    bronze = read_layer(spark, base, "bronze", TABLES)
     run_together(
-        partial(write_events if name == "content_events" else write_table, df, base, "silver", name)
-        for name, df in silver.items()
+        partial(write_checked, checked(name, df), base, name, VALID if name == "content_events" else "silver")
+        for name, df in bronze.items()
     )
+    write_events(longest_watch(read_table(spark, base, VALID, "content_events")), base, "silver")
+
+
+def rejected_rows(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """For each table, (reason, raw) of the bronze rows that broke a rule of silver."""
+    return read_layer(spark, base, REJECTS, TABLES)
 
 
 def silver_layer(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -67,17 +80,43 @@ def written_tables(spark: SparkSession, base: str) -> dict[str, dict[str, DataFr
 
 
 def count_layers(spark: SparkSession, base: str) -> DataFrame:
-    return row_counts(written_tables(spark, base))
+    """Rows of every written table, as they were counted while it was written: no table is
+    read."""
+    rows = [
+        (layer, name, n) for layer, names in LAYERS.items()
+        for name, n in stored_counts(spark, base, layer, names).items()
+    ]
+    return spark.createDataFrame(rows, "layer string, table string, n bigint")
+
+
+def account_layers(spark: SparkSession, base: str) -> DataFrame:
+    """Where the rows of each bronze table went (see ``quality.row_accounting``). Only the
+    valid events are read, to count the copies of each."""
+    counted = [("bronze", "bronze"), ("silver", "silver"), (REJECTS, "rejected")]
+    rows = [(role, name, n) for layer, role in counted for name, n in stored_counts(spark, base, layer, TABLES).items()]
+    copies = key_copies(read_table(spark, base, VALID, "content_events"), EVENT_KEY)
+    duplicates = copies.select(F.lit("duplicate").alias("role"), F.lit("content_events").alias("table"), "n")
+    return row_accounting(spark.createDataFrame(rows, "role string, table string, n bigint").unionByName(duplicates))
 
 
 def check_layers(spark: SparkSession, base: str) -> DataFrame:
-    written = written_tables(spark, base)
+    written = {layer: existing_tables(spark, base, layer, names) for layer, names in LAYERS.items()}
     named = {
         name if layer == "gold" else f"{layer}_{name}": df
         for layer, tables in written.items()
         for name, df in tables.items()
     }
-    return dq_checks(named)
+    checks = dq_checks(named)
+    return checks.unionByName(accounted_rows(account_layers(spark, base))) if written["silver"] else checks
+
+
+def remove_unfinished(spark: SparkSession, base: str, older_than_hours: float = 24) -> list[str]:
+    """Deletes what writes that failed have left, and returns the folders."""
+    layers = {**LAYERS, VALID: ("content_events",), REJECTS: TABLES, "checked": TABLES}
+    return [
+        folder for layer, names in layers.items() for name in names
+        for folder in remove_unpublished(spark, base, layer, name, older_than_hours)
+    ]
 
 
 def build_all(

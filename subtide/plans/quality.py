@@ -104,6 +104,32 @@ def check_fewer_rows(table: str, df: DataFrame, before: DataFrame) -> DataFrame:
     )
 
 
+def key_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(n): how many rows are copies of an earlier row with the same keys."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+    return per_key.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("n"))
+
+
+def row_accounting(counts: DataFrame) -> DataFrame:
+    """From counts (role, table, n) one row per table: bronze_rows, silver_rows,
+    rejected_rows, duplicate_rows, and whether the last three make up the first."""
+    def rows(role: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("role") == role, F.col("n"))), F.lit(0)).alias(f"{role}_rows")
+
+    summed = counts.groupBy("table").agg(*map(rows, ("bronze", "silver", "rejected", "duplicate")))
+    return summed.withColumn("balanced", F.col("bronze_rows") == F.expr("silver_rows + rejected_rows + duplicate_rows"))
+
+
+def accounted_rows(accounting: DataFrame) -> DataFrame:
+    """As a check: the bronze rows of each table that are neither silver, rejected nor a
+    duplicate, or are more than one of these."""
+    missing = F.abs(F.expr("bronze_rows - silver_rows - rejected_rows - duplicate_rows"))
+    return accounting.select(
+        F.lit("accounted").alias("check"), F.concat(F.lit("bronze_"), "table").alias("table"), F.lit("*").alias("column"),
+        missing.alias("failing_rows"), F.col("balanced").alias("passed"),
+    )
+
+
 def check_tables_exist(spark: SparkSession, present: Iterable[str], expected: Sequence[str]) -> DataFrame:
     """Metadata only: one row per expected table."""
     found = set(present)

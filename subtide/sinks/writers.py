@@ -1,4 +1,5 @@
-"""Writers: layer tables as Parquet, exports as CSV. Both replace what is there."""
+"""Writers: layer tables as Parquet, in versions, and exports as CSV. Both replace what is
+there; a table is replaced in one step once all of it has been written."""
 
 from __future__ import annotations
 
@@ -6,12 +7,14 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from subtide.sources.layers import table_path
+from subtide.sources.versions import Version, new_folder, publish
 
 EVENT_DATE = "event_date"
+REJECTS = "rejects"
 
 
 def run_together(writes: Iterable[Callable[[], None]]) -> None:
@@ -21,25 +24,50 @@ def run_together(writes: Iterable[Callable[[], None]]) -> None:
             done.result()
 
 
-def write_table(df: DataFrame, base: str, layer: str, name: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(table_path(base, layer, name))
+def _write_files(df: DataFrame, base: str, path: str, counts: Mapping[str, Column], *by: str) -> dict[str, int]:
+    """Writes Parquet files and returns the counts, taken from the rows as they pass."""
+    seen = Observation()
+    watched = df.observe(seen, *[count.alias(name) for name, count in counts.items()])
+    watched.write.partitionBy(*by).parquet(f"{base.rstrip('/')}/{path}")
+    return {name: seen.get.get(name, 0) for name in counts}
+
+
+def _stored(schema: T.StructType, *names: str) -> T.StructType:
+    """The schema, or some of its columns, as Parquet gives it back."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema if not names or f.name in names])
+
+
+def write_table(df: DataFrame, base: str, layer: str, name: str, *by: str) -> None:
+    path = new_folder(layer, name)
+    counts = _write_files(df, base, path, {"rows": F.count(F.lit(1))}, *by)
+    publish(df.sparkSession, base, layer, name, Version(path, counts["rows"], _stored(df.schema)))
+
+
+def write_checked(df: DataFrame, base: str, name: str, layer: str) -> None:
+    """One write for two tables: rows of ``df`` without a ``reason`` become the table of
+    ``layer``, the others the rejects. Both are views of the files in the layer ``checked``."""
+    spark = df.sparkSession
+    path = new_folder("checked", name)
+    counts = _write_files(df, base, path, {
+        "kept": F.count_if(F.col("reason").isNull()), "rejected": F.count_if(F.col("reason").isNotNull()),
+    })
+    columns = tuple(c for c in df.columns if c not in ("reason", "raw"))
+    kept = Version(path, counts["kept"], _stored(df.schema, *columns, "reason"), "reason IS NULL", columns)
+    rejected = Version(path, counts["rejected"], _stored(df.schema, "reason", "raw"), "reason IS NOT NULL")
+    # the files belong to the table published last: older ones go with it
+    publish(spark, base, layer, name, kept)
+    publish(spark, base, REJECTS, name, rejected)
+    publish(spark, base, "checked", name, Version(path, sum(counts.values()), _stored(df.schema)))
 
 
 def write_events(df: DataFrame, base: str, layer: str, name: str = "content_events") -> None:
     """Events in one folder per day.
 
     The rebalance gathers each day before the write, so a task opens few files, and
-    adaptive execution splits a day that is larger than the advisory size. The overwrite
-    is static, whatever the session says: days that are not written again go.
+    adaptive execution splits a day that is larger than the advisory size.
     """
     dated = df.withColumn(EVENT_DATE, F.to_date("event_ts"))
-    (
-        dated.hint("rebalance", EVENT_DATE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(EVENT_DATE)
-        .parquet(table_path(base, layer, name))
-    )
+    write_table(dated.hint("rebalance", EVENT_DATE), base, layer, name, EVENT_DATE)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -63,6 +63,8 @@ def _users(table: Callable[[str], DataFrame]) -> DataFrame:
         "signup_ts": (
             "CASE WHEN c_custkey % 89 = 88 THEN NULL WHEN c_custkey % 83 = 82 THEN 'not a date' "
             "WHEN c_custkey % 79 = 78 THEN '2024-1-5' WHEN c_custkey % 73 = 72 THEN '      2024' "
+            "WHEN c_custkey % 71 = 70 THEN '2024-01-05T10:00:00Z' WHEN c_custkey % 67 = 66 THEN ' 2024-01-05 10:00:00 ' "
+            r"WHEN c_custkey % 61 = 60 THEN '2024-01-05\n' "
             f"ELSE {_day('c_custkey % 25')} END"
         ),
         "country": "concat(' ', lower(n_name))",
@@ -100,6 +102,8 @@ def _payments(table: Callable[[str], DataFrame]) -> DataFrame:
             "CASE WHEN l_orderkey % 113 = 112 AND l_linenumber = 3 THEN 'not a date' "
             "WHEN l_orderkey % 113 = 111 AND l_linenumber = 3 THEN '2024-02    ' "
             "WHEN l_orderkey % 113 = 110 AND l_linenumber = 3 THEN '2024-1-5 7:30' "
+            "WHEN l_orderkey % 113 = 109 AND l_linenumber = 3 THEN '2024-01-15T10:00:00+02:00' "
+            "WHEN l_orderkey % 113 = 108 AND l_linenumber = 3 THEN '2024-01-15 10:00:00.5 UTC' "
             f"ELSE {_day('(l_orderkey * 7) % 30 + l_linenumber * 4')} END"
         ),
         "amount": "price",
@@ -125,7 +129,9 @@ def _content_events(table: Callable[[str], DataFrame]) -> DataFrame:
         "user_id": "CASE WHEN event_id % 211 <> 210 THEN viewer END",
         "content_id": "CASE WHEN event_id % 100 <> 60 THEN concat('content_', event_id % 200) END",
         "event_ts": (
-            "CASE WHEN event_id % 223 = 222 THEN 'not a date' WHEN viewer % 3 = 0 "
+            "CASE WHEN event_id % 223 = 222 THEN 'not a date' "
+            "WHEN event_id % 227 = 226 THEN concat(replace(CAST(ts AS STRING), ' ', 'T'), 'Z') "
+            "WHEN event_id % 229 = 228 THEN concat(' ', CAST(ts AS STRING), '+0530 ') WHEN viewer % 3 = 0 "
             "THEN CAST(ts - INTERVAL '20' DAY AS STRING) ELSE CAST(ts AS STRING) END"
         ),
         "event_type": "CASE WHEN copy = 1 THEN upper(label) ELSE label END",

@@ -11,6 +11,7 @@ from subtide.plans import medallion
 from subtide.plans.silver import silver_content_events, silver_payments
 from subtide.schemas import MARTS, RAW_SCHEMAS, TABLES
 from subtide.sinks.writers import export_csv
+from subtide.sources.layers import read_table
 from subtide.sources.raw_files import bronze_tables, read_csv, read_json_records, read_raw
 from tests.helpers import case, event, payment, subscription, ts, user
 
@@ -169,18 +170,18 @@ def test_reader_options_reach_the_flow(spark, extracts, tmp_path):
     (raw / "content_events.json").write_text("\n".join(json.dumps(e) for e in (event(content="a{b"), event())))
     base = str(tmp_path / "lake")
     medallion.build_all(spark, extracts, base, as_of="2024-02-15", multiline=True, layout="lines")
-    assert spark.read.parquet(f"{base}/silver/support_cases").first().issue_type == "two\nlines"
-    assert {r.content_id for r in spark.read.parquet(f"{base}/silver/content_events").collect()} == {"a{b", "c1"}
-    stamps = {spark.read.parquet(f"{base}/bronze/{t}").first()._ingested_at for t in TABLES}
+    assert read_table(spark, base, "silver", "support_cases").first().issue_type == "two\nlines"
+    assert {r.content_id for r in read_table(spark, base, "silver", "content_events").collect()} == {"a{b", "c1"}
+    stamps = {read_table(spark, base, "bronze", t).first()._ingested_at for t in TABLES}
     assert len(stamps) == 1, "one run has one time"
 
 
 def test_a_run_goes_on_from_a_layer(spark, extracts, tmp_path):
     base = str(tmp_path / "lake")
     medallion.build_all(spark, extracts, base, as_of="2024-02-15")
-    before = spark.read.parquet(f"{base}/gold/mart_churn_risk").count()
+    before = read_table(spark, base, "gold", "mart_churn_risk").count()
     medallion.build_all(spark, "/nowhere", base, as_of="2024-02-15", start="silver")
-    assert spark.read.parquet(f"{base}/gold/mart_churn_risk").count() == before
+    assert read_table(spark, base, "gold", "mart_churn_risk").count() == before
 
 
 def test_overwrite_is_static(spark, tmp_path):
@@ -192,7 +193,7 @@ def test_overwrite_is_static(spark, tmp_path):
             write_events(spark.sql(f"SELECT 'u' AS user_id, TIMESTAMP_NTZ '2024-01-0{day} 00:00:00' AS event_ts"), str(tmp_path), "silver")
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    assert [r.event_ts.day for r in spark.read.parquet(f"{tmp_path}/silver/content_events").collect()] == [2]
+    assert [r.event_ts.day for r in read_table(spark, str(tmp_path), "silver", "content_events").collect()] == [2]
 
 
 def test_bronze_keeps_rows_and_adds_lineage(spark, extracts):
@@ -224,7 +225,7 @@ def test_whole_flow(spark, extracts, tmp_path):
     assert checks.columns == ["check", "table", "column", "failing_rows", "passed"]
     assert checks.filter("NOT passed").collect() == []
 
-    days = spark.read.parquet(f"{base}/silver/content_events")
+    days = read_table(spark, base, "silver", "content_events")
     assert "event_date" in days.columns
     assert medallion.silver_layer(spark, base)["content_events"].columns == EVENTS.names
 
@@ -256,10 +257,10 @@ def test_events_are_gathered_by_day(spark, tmp_path):
         "id AS user_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(CAST(id % 5 AS INT)) AS event_ts"
     )
     write_events(df, str(tmp_path), "silver")
-    days = sorted((tmp_path / "silver" / "content_events").glob("event_date=*"))
+    days = sorted((tmp_path / "silver" / "content_events").glob("v-*/event_date=*"))
     assert [day.name for day in days] == [f"event_date=2024-01-0{d}" for d in range(1, 6)]
     assert all(len(list(day.glob("*.parquet"))) == 1 for day in days)
-    scan = spark.read.parquet(f"{tmp_path}/silver/content_events").filter("event_date = DATE '2024-01-03'")
+    scan = read_table(spark, str(tmp_path), "silver", "content_events").filter("event_date = DATE '2024-01-03'")
     assert scan.count() == 80
     assert "PartitionFilters: [isnotnull(event_date" in scan._jdf.queryExecution().executedPlan().toString()
 

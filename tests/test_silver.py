@@ -1,6 +1,7 @@
 """Cleaning rules of the silver tables on hand-made rows."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import case, event, payment, raw, silver, subscription, ts, user
@@ -152,6 +153,11 @@ def test_results_do_not_depend_on_the_session_zone(spark):
 @pytest.mark.parametrize("text, expected", [
     ("2024-1-5", "2024-01-05 00:00:00"), ("2024-01-05 10:00", "2024-01-05 10:00:00"), ("2024/1/5", "2024-01-05 00:00:00"),
     ("2024-01-05T10:00:00.25", "2024-01-05 10:00:00.250000"), ("2024-01-05 1:2:3", "2024-01-05 01:02:03"),
+    ("2024-01-05T10:00:00Z", "2024-01-05 10:00:00"), ("2024-01-05 10:00:00+02:00", "2024-01-05 10:00:00"), ("2024-01-05 10:00 -0530", "2024-01-05 10:00:00"),
+    ("2024-01-05 10:00:00.5 UTC", "2024-01-05 10:00:00.500000"), ("2024/01/05 10:00:00 Europe/Berlin ", "2024-01-05 10:00:00"), ("2024-01-05  10:00:00", "2024-01-05 10:00:00"),
+    (" 2024-01-05 10:00:00 ", "2024-01-05 10:00:00"), ("\t2024-01-05", "2024-01-05 00:00:00"), ("2024-01-05 10:00:00.1234567", "2024-01-05 10:00:00.123456"),
+    ("2024-01-05\n", None), ("2024-01-05 10:00:00\n", None), ("2024-01-05Z", None), ("2024-01-05 10:00:00+2", None), ("2024-01-05 10:00:00z", None), ("2024-01/05", None),
+    ("2024-02-30 10:00:00", None), ("2024-01-05 25:00:00", None), ("-2024-01-05 10:00:00", None), ("2024-01-05 10:00:00UTC", None),
     ("      2024", None), ("2024-02    ", None), ("2024-01-05 10", None), (" 2024-01-05 ", None), ("2024-13-01", None), ("", None), (None, None),
 ])
 def test_timestamps_are_told_by_their_form(spark, text, expected):
@@ -165,3 +171,13 @@ def test_timestamps_are_told_by_their_form(spark, text, expected):
 def test_watch_seconds_with_decimals(spark, text, expected):
     rows = silver(spark, "content_events", event(seconds=text)).collect()
     assert [r.watch_seconds for r in rows] == ([] if expected is None else [expected])
+
+
+def test_a_timestamp_is_parsed_once_for_filter_and_column(spark):
+    from subtide.plans.silver import typed
+    from subtide.schemas import RAW_SCHEMAS
+
+    for name in ("users", "payments", "content_events"):
+        bronze = spark.range(9).select(*[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in RAW_SCHEMAS[name].names])
+        plan = typed(name, bronze)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RLIKE") == 1, plan
