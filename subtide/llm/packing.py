@@ -15,7 +15,6 @@ are powers of two, which need no padding either.
 from __future__ import annotations
 
 import json
-import os
 import re
 import zlib
 from collections import defaultdict
@@ -24,11 +23,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtide.llm.pieces import PieceTable, spans_of, text_slices
+from subtide.llm.pieces import PieceTable, library_encoder, ragged_rows, text_slices
 
 SEQUENCE = 2048
 END_ID = 1
@@ -37,14 +37,13 @@ OPEN = 4096
 #: Sequences in one record batch.
 BATCH = 256
 
-#: Texts may be cut before white space that follows something else: no match of the
-#: byte-level pattern reaches from one to the other.
-CUT = re.compile(r"\s*\S+|\s+")
-#: White space to Python, but not to the pattern.
-NOT_SPACE = re.compile("[\x1c-\x1f]")
-WORD = re.compile(r" \S+")
-#: Pieces the library is asked for at once, and pieces a worker remembers.
-LINES, TABLE_ROWS = 4096, 700_000
+#: White space other than single spaces and line feeds between other characters: texts with
+#: it are not cut.
+ODD_SPACE = (
+    r"[\t\v\f\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
+)
+#: Bytes of text that are encoded at once; words that a worker remembers.
+SLICE, TABLE_ROWS = 8 << 20, 600_000
 _encoders: dict[int, Callable] = {}
 
 
@@ -64,56 +63,52 @@ def may_cut(tokenizer: dict) -> bool:
     )
 
 
-def encoder(tokenizer_json: bytes) -> Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]:
-    """This worker's encoder: all ids of some texts, and how many each text has."""
+def encoder(tokenizer_json: bytes) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """This worker's encoder: all ids of some texts, and how many each text has; null is
+    empty.
+
+    Texts are cut before single spaces and around single line feeds, which no match of the
+    byte-level pattern reaches over, and the library is asked once for each new word. Texts
+    with other white space, and all texts of a tokenizer that cannot be cut, go to the
+    library whole.
+    """
     key = zlib.crc32(tokenizer_json)
-    if key in _encoders:
-        return _encoders[key]
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer, cuts = Tokenizer.from_buffer(tokenizer_json), may_cut(json.loads(tokenizer_json))
-
-    def ask(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
-
-    feed = ask(["\n"])[0]
-
-    def ask_lines(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``ask``, for pieces of a space and a word each: as lines of one text, which
-        spares the library an encoding for each. A line feed before a space is a match of
-        its own, so it stands between the words' ids."""
-        ids = np.array(tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-        between = np.flatnonzero(ids == feed[0])
-        if len(feed) > 1 or len(between) != len(words) - 1:  # an added token took a space
-            return ask(words)
-        ends = np.concatenate([[-1], between, [len(ids)]])
-        return np.delete(ids, between), np.diff(ends) - 1
-
-    def ask_all(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        is_word = np.fromiter((WORD.fullmatch(p) is not None for p in pieces), dtype=bool, count=len(pieces))
-        order = np.argsort(~is_word, kind="stable")
-        words = int(is_word.sum())
-        cuts = [*range(0, words, LINES), *range(words, len(pieces), LINES), len(pieces)]
-        parts = [(ask_lines if a < words else ask)([pieces[i] for i in order[a:b].tolist()]) for a, b in zip(cuts, cuts[1:])]
-        ids, counts = (np.concatenate(held) for held in zip(*parts))
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        starts = (np.cumsum(counts) - counts)[back]
-        return ids[spans_of(starts, counts[back])], counts[back]
-
-    table = PieceTable(ask_all, TABLE_ROWS)
-
-    def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        if not cuts:
-            return ask([t or "" for t in texts])
-        pieces = [[t] if t and NOT_SPACE.search(t) else CUT.findall(t or "") for t in texts]
-        return table.ids_of(list(chain.from_iterable(pieces)), np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
-
-    _encoders[key] = encode
-    return encode
+    if key not in _encoders:
+        cuts, ask_whole = may_cut(json.loads(tokenizer_json)), library_encoder(tokenizer_json)
+        feed = ask_whole(["\n"])[0]
+        table = PieceTable(library_encoder(tokenizer_json, "\n"), TABLE_ROWS)
+
+        def encode_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            """Ids of texts whose white space is single spaces and line feeds, which are
+            tokens of their own; a space belongs to the word after it."""
+            lines = pc.split_pattern(texts, "\n")
+            per_text = pc.list_value_length(lines).to_numpy().astype(np.int64)
+            words = pc.split_pattern(lines.flatten(), " ")
+            per_line = pc.list_value_length(words).to_numpy().astype(np.int64)
+            n = np.arange(len(per_line))
+            is_first = np.zeros(int(per_line.sum()), dtype=bool)
+            is_first[np.cumsum(per_line) - per_line] = True
+            feeds = np.full(len(n), len(feed))
+            feeds[np.cumsum(per_text) - 1] = 0
+            flat = words.flatten()
+            ids, counts = ragged_rows([
+                (3 * n, *table.ids_of_words(flat.filter(pa.array(is_first)), np.ones(len(n), dtype=np.int64))),
+                (3 * n + 1, *table.ids_of_words(flat.filter(pa.array(~is_first)), per_line - 1, " ")),
+                (3 * n + 2, np.tile(feed, int((feeds > 0).sum())), feeds),
+            ])
+            return ids, np.add.reduceat(counts, np.concatenate([[0], 3 * np.cumsum(per_text)[:-1]]))
+
+        def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            texts = pc.fill_null(texts, "")
+            whole = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False) | (not cuts)
+            parts = []
+            for rows, encode_some in ((np.flatnonzero(~whole), encode_lines), (np.flatnonzero(whole), lambda some: ask_whole(some.to_pylist()))):
+                if len(rows):
+                    parts.append((rows, *encode_some(texts.take(pa.array(rows)))))
+            return ragged_rows(parts)
+
+        _encoders[key] = encode
+    return _encoders[key]
 
 
 # ---- packing --------------------------------------------------------------------------
@@ -283,9 +278,9 @@ def pack(
             number += len(windows)
             return out
 
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             id_type = batch.schema.field("doc_id").type
-            ids, counts = encode(batch.column("text").to_pylist())
+            ids, counts = encode(batch.column("text"))
             if end_id is not None:
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
             ends = np.cumsum(counts).tolist()

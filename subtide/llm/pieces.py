@@ -3,7 +3,10 @@ Python worker remembers."""
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Callable, Hashable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are turned into Python objects at once.
 SLICE_BYTES = 4 << 20
+#: Texts that a tokenizer is asked for at once.
+ASKED = 4096
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -73,9 +78,84 @@ class PieceTable:
 
     def ids_of(self, pieces: Sequence, per_document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each document has, from its number of pieces."""
-        at = self.positions(pieces)
+        return self._gather(self.positions(pieces), per_document)
+
+    def ids_of_words(
+        self, words: pa.Array, per_document: np.ndarray, before: str = "", prepare: Callable[[pa.Array], pa.Array] = lambda distinct: distinct
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """As ``ids_of`` for an Arrow array of words, each with ``before`` put before it, for
+        tokenizers that part letters and digits from a comma or full stop after them.
+
+        Equal words are looked up once, in the form that ``prepare`` gives to distinct ones.
+        A comma or full stop at the end is looked up by itself, as words mostly occur
+        without one too.
+        """
+        encoded = words.dictionary_encode()
+        distinct, at = prepare(encoded.dictionary), encoded.indices.to_numpy()
+        marked = pc.match_substring_regex(distinct, "[A-Za-z0-9][,.]$")
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(distinct, 0, -1), distinct)
+        stops = pc.ends_with(distinct, ".").to_numpy(zero_copy_only=False)[at]
+        marked = marked.to_numpy(zero_copy_only=False)[at]
+        rows = self.positions([*(before + w for w in stems.to_pylist()), ",", "."])
+        parts = 1 + marked
+        ends = np.cumsum(parts)
+        every = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
+        every[ends - parts] = rows[at]
+        every[ends[marked] - 1] = np.where(stops[marked], rows[-1], rows[-2])
+        last = np.concatenate([[0], np.cumsum(per_document)])
+        return self._gather(every, np.diff(np.concatenate([[0], ends])[last]))
+
+    def _gather(self, at: np.ndarray, per_document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = self.starts[at]
         counts = self.starts[at + 1] - starts
         ends = np.concatenate([[0], np.cumsum(counts)])
         last = np.concatenate([[0], np.cumsum(per_document)])
         return self.flat[spans_of(starts, counts)], np.diff(ends[last])
+
+
+def library_encoder(tokenizer_json: bytes, joint: str | None = None) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Asks the tokenizers library for the ids of many short texts, without its special
+    tokens: all ids, and how many each text has.
+
+    With a ``joint`` texts are encoded as one, joined by it, which spares the library an
+    encoding for each. It must be one token wherever it stands between two of the texts and
+    keep them apart. Where its token is seen more or less often than it was put in, the
+    texts are encoded one by one.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_buffer(tokenizer_json)
+
+    def each(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
+
+    between_ids = each([joint])[0] if joint else []
+
+    def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(between_ids) != 1:
+            return each(texts)
+        (encoding,) = tokenizer.encode_batch_fast([joint.join(texts)], add_special_tokens=False)
+        ids = np.array(encoding.ids, dtype=np.uint32)
+        between = np.flatnonzero(ids == between_ids[0])
+        if len(between) != len(texts) - 1:
+            return each(texts)
+        return np.delete(ids, between), np.diff(between, prepend=-1, append=len(ids)) - 1
+
+    def ask(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [joined(texts[at: at + ASKED]) for at in range(0, len(texts), ASKED)]
+        if not parts:
+            return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([counts for _, counts in parts])
+
+    return ask
+
+
+def ragged_rows(parts: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) of all rows in order, from parts (rows, ids, counts) that each hold some
+    of them."""
+    rows, ids, counts = (np.concatenate(held) for held in zip(*parts))
+    order = np.argsort(rows, kind="stable")
+    return ids[spans_of((np.cumsum(counts) - counts)[order], counts[order])], counts[order]

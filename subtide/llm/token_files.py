@@ -6,74 +6,95 @@ token counts, and one Simple-8b image (see simple8b) of all their tokens.
 
 from __future__ import annotations
 
-import os
+import json
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.llm import simple8b
-from subtide.llm.pieces import PieceTable, text_slices
+from subtide.llm.pieces import PieceTable, library_encoder, text_slices
 from subtide.llm.scratch import partitions_for, store
 
 RECORD_IDS = 1 << 18
 END_ID = 1
-TABLE_ROWS = 700_000
-_tables: dict[int, PieceTable] = {}
+#: Bytes of text that are encoded at once; words that a worker remembers.
+SLICE, TABLE_ROWS = 8 << 20, 700_000
+#: Fixed value: a pattern whose matches are runs of letters, single digits, and runs of
+#: other characters; what lies between them is dropped.
+WORDS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_encoders: dict[int, Callable] = {}
+
+
+def _steps(step: dict | None, name: str) -> list[dict]:
+    """The steps of a normaliser or pre-tokeniser, which may be a sequence."""
+    if step is None:
+        return []
+    return [s for inner in step[name] for s in _steps(inner, name)] if step["type"] == "Sequence" else [step]
+
+
+def drops_spaces(tokenizer: dict) -> bool:
+    """Whether a tokenizer file says that texts can be cut at spaces and line feeds: it drops
+    white space, and no normalisation, added token or match of its pattern reaches over it."""
+    split, *rest = _steps(tokenizer.get("pre_tokenizer"), "pretokenizers") or [{}]
+    return (
+        all(
+            step["type"] in ("NFC", "Lowercase") or (step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " ")
+            for step in _steps(tokenizer.get("normalizer"), "normalizers")
+        )
+        and split.get("type") == "Split" and split["pattern"] == {"Regex": WORDS_PATTERN} and split["behavior"] == "Removed" and split["invert"]
+        and all(step["type"] == "ByteLevel" and not step["use_regex"] and not step["add_prefix_space"] for step in rest)
+        and tokenizer.get("post_processor") is None and tokenizer.get("truncation") is None and tokenizer.get("padding") is None
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in tokenizer.get("added_tokens", ()))
+    )
 
 
-def tokenizer_table(tokenizer_json: bytes) -> PieceTable:
-    """This worker's table of pieces for a tokenizer of the tokenizers library.
+def text_encoder(tokenizer_json: bytes) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """This worker's encoder by the tokenizers library: all ids of some texts, one after
+    another, and how many each text has; null is empty.
 
-    Pieces are asked of the library in their simplest form: where its normaliser lowers
-    letters, ASCII pieces are lowered first, and where it parts words and punctuation, a
-    comma or full stop at the end is a piece of its own.
+    For a tokenizer that drops white space texts are cut at spaces and line feeds, and the
+    library is asked once for each new word; where it lowers letters, ASCII words are looked
+    up in lower case. A word that might hold an added token, which is no such token in other
+    case, stays as it is. Other tokenizers get whole texts.
     """
     key = zlib.crc32(tokenizer_json)
-    if key not in _tables:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_buffer(tokenizer_json)
-        lowers = tokenizer.normalizer is not None and tokenizer.normalizer.normalize_str("aZ") == "az"
-        parts_words = tokenizer.pre_tokenizer is not None and all(
-            [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(w + c)] == [w, c] for w in ("a", "5") for c in ",."
-        )
+    if key not in _encoders:
+        spec = json.loads(tokenizer_json)
+        if not drops_spaces(spec):
+            ask = library_encoder(tokenizer_json)
+            _encoders[key] = lambda texts: ask(pc.fill_null(texts, "").to_pylist())
+            return _encoders[key]
+        added = tuple(t["content"] for t in spec.get("added_tokens", ()))
+        lowers = any(step["type"] == "Lowercase" for step in _steps(spec.get("normalizer"), "normalizers"))
+        # an added token is cut out before all else and so keeps apart what is beside it
+        joints = [t["content"] for t in spec.get("added_tokens", ()) if t["special"] and not t["normalized"]]
+        table = PieceTable(library_encoder(tokenizer_json, joints[0] if joints else None), TABLE_ROWS)
+
+        def lowered(words: pa.Array) -> pa.Array:
+            fit = pc.string_is_ascii(words)
+            for token in added:
+                fit = pc.and_not(fit, pc.match_substring(words, token, ignore_case=True))
+            return pc.if_else(fit, pc.ascii_lower(words), words)
+
+        def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+            return table.ids_of_words(
+                words.flatten(), pc.list_value_length(words).to_numpy().astype(np.int64), prepare=lowered if lowers else lambda distinct: distinct
+            )
+
+        _encoders[key] = encode
+    return _encoders[key]
+
 
-        def ask(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(counts.sum())), counts
-
-        simple = PieceTable(ask, TABLE_ROWS)
-
-        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            parts, sizes = [], np.ones(len(pieces), dtype=np.int64)
-            for i, piece in enumerate(pieces):
-                word = piece.lower() if lowers and piece.isascii() else piece
-                if parts_words and len(word) > 1 and word[-1] in ",." and word[-2].isalnum():
-                    parts += (word[:-1], word[-1])
-                    sizes[i] = 2
-                else:
-                    parts.append(word)
-            return simple.ids_of(parts, sizes)
-
-        _tables[key] = PieceTable(encode, TABLE_ROWS)
-    return _tables[key]
-
-
-def encode_texts(texts: list[str | None], table: PieceTable, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts, one after another, and how many each text has; null is empty."""
-    # spaces and line feeds may be cut at: the tokenizer drops them, and no normalisation,
-    # token or match of its pattern reaches across them
-    cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-    per_text = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-    ids, counts = table.ids_of(list(chain.from_iterable(cut)), per_text)
+def encode_texts(texts: Sequence[str | None] | pa.Array, encode: Callable, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts by ``text_encoder``, and how many each has, with the end id."""
+    ids, counts = encode(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
     if end_id is not None:
         ids = np.insert(ids, np.cumsum(counts), end_id)
         counts = counts + 1
@@ -102,7 +123,7 @@ def write_token_files(
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, part = tokenizer_table(tokenizer.value), TaskContext.get().partitionId()
+        encode, part = text_encoder(tokenizer.value), TaskContext.get().partitionId()
         doc_ids: list[pa.Array] = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -122,13 +143,24 @@ def write_token_files(
                 held.clear()
             return out
 
-        for batch in text_slices(batches, "text", record_ids * 2):
-            tokens, sizes = encode_texts(batch.column("text").to_pylist(), table, end_id)
-            ids.append(tokens)
-            counts.append(sizes)
-            doc_ids.append(batch.column("doc_id"))
-            if sum(map(len, ids)) >= record_ids:
+        held = 0
+        for batch in text_slices(batches, "text", SLICE):
+            tokens, sizes = encode_texts(batch.column("text"), encode, end_id)
+            ends = np.cumsum(sizes)
+            # documents are dealt to records whole; a record is full once it has its ids
+            group = (held + ends - sizes) // record_ids
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+            for a, b in zip(cuts, cuts[1:]):
+                first_id = int(ends[a] - sizes[a])
+                ids.append(tokens[first_id: int(ends[b - 1])])
+                counts.append(sizes[a:b])
+                doc_ids.append(batch.column("doc_id").slice(a, b - a))
+                if b < len(sizes):
+                    yield flush()
+            held = sum(map(len, ids))
+            if held >= record_ids:
                 yield flush()
+                held = 0
         if ids:
             yield flush()
 

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -98,8 +99,11 @@ def test_ids_equal_the_library(library, seed):
         " ", "  ", "\n", "\t", "\r\n", " ", " ", "\x1c", "\x1f", "\x85", "​", "﻿", "a", "Word", "it's", "'LL", "'s", "12", "٣", "½",
         "!", "...", "$", "日本", "ß", "İ", "é", "\U0001F600", "<|endoftext|>", "<|", "|>", "_", "'", "\x00",
     ]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)]
-    ids, counts = packing.encoder(vocabulary(NAME))(texts)
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)]
+    solid = [p for p in parts if not p.isspace()]
+    texts += [rng.choice(" \n").join("".join(rng.choices(solid, k=rng.randint(1, 3))) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts += ["\n".join(rng.choices(texts, k=3)) for _ in range(300)]
+    ids, counts = packing.encoder(vocabulary(NAME))(pa.array(texts, pa.string()))
     ends = np.cumsum(counts)
     for text, a, b in zip(texts, ends - counts, ends):
         assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
@@ -109,7 +113,7 @@ def test_tokenizers_that_cannot_be_cut_get_whole_texts():
     other = vocabulary("word_bpe_49k.json")
     assert packing.may_cut(json.loads(vocabulary(NAME))) and not packing.may_cut(json.loads(other))
     texts = ["ALİ. Two  words", "", None]
-    ids, counts = packing.encoder(other)(texts)
+    ids, counts = packing.encoder(other)(pa.array(texts, pa.string()))
     plain = [Tokenizer.from_buffer(other).encode(t or "", add_special_tokens=False).ids for t in texts]
     assert counts.tolist() == [len(p) for p in plain] and ids.tolist() == sum(plain, [])
 

@@ -1,5 +1,7 @@
 """Simple-8b round trips, and token files against the tokenizers library."""
 
+import json
+import random
 import zlib
 
 import numpy as np
@@ -50,12 +52,44 @@ def test_pieces_are_encoded_as_whole_texts_are():
         "Hello, World. ÉTÉ, été. it's we'll 3.14, x... a.b, <|endoftext|>, A<|startoftext|>B.  em space\x1c,\x85.",
         "ΣΑΣ. İstanbul, ß. \tTabs\r\nand\x0bmore ,, .. ., 12. ٣, ½. _x. -.",
     ]
-    ids, counts = token_files.encode_texts(texts, token_files.tokenizer_table(JSON), None)
+    ids, counts = token_files.encode_texts(texts, token_files.text_encoder(JSON), None)
     parts = np.split(ids, np.cumsum(counts)[:-1])
     tokenizer = Tokenizer.from_buffer(JSON)
     assert [p.tolist() for p in parts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def same_as_library(texts, data):
+    ids, counts = token_files.encode_texts(texts, token_files.text_encoder(data), None)
+    tokenizer, ends = Tokenizer.from_buffer(data), np.cumsum(counts)
+    for text, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_texts_of_mixed_scripts(seed):
+    rng = random.Random(seed)
+    parts = [
+        " ", " ", "\n", "\t", "\r\n", "\u00a0", "\x1c", "\x85", "\u2028", "a", "Word", "THE", "it's", "'LL", "'S", "12", "٣", "½", "²", "!", ",", ".", ",.", "...",
+        "日本", "ß", "İ", "Σ", "ς", "é", "e\u0301", "\u0301", "Å", "ﬁ", "Ǆ", "\U0001F600", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "_", "'", "\x00",
+    ]
+    same_as_library(["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(4000)] + [None, ""], JSON)
+
+
+def test_forms_once_wrongly_encoded():
+    same_as_library(["ALİ.", "İ,", "<|ENDOFTEXT|>", "a<|StartOfText|>B,", "x<|endoftext|>Y. Z,", "A" * 9 + ".", "é.", "5,", ")."], JSON)
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": None}, {"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+])
+def test_other_tokenizers_get_whole_texts(change):
+    spec = json.loads(JSON) | change
+    whole = token_files.drops_spaces(spec)
+    assert whole == (change == {"normalizer": None}) and token_files.drops_spaces(json.loads(JSON))
+    same_as_library(["Two  Words, ALİ. x\u00a0y", "İ, ① <|ENDOFTEXT|>", "", None], json.dumps(spec).encode())
+
+
 def test_files_of_a_table(spark, small):
     docs = small("documents")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
