@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.functions.scalars import as_timestamp, as_whole_number, lower_label
 from subtide.operators.rows import duplicate_keys, row_counts, stack, with_lineage
-from subtide.plans import marts, quality, silver
+from subtide.plans import marts, quality, rollups, silver
 from subtide.plans.staging import stage, staging_tables
 from subtide.schemas import EVENT_KEY, RAW_FILES, TABLES
 from subtide.sources.star_schema import AS_OF, INGESTED_AT, raw_table
@@ -84,6 +84,10 @@ def _row_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]))
 
 
+def _active_users(events: DataFrame) -> DataFrame:
+    return rollups.active_users(rollups.week_users(events, rollups.user_numbers(events)))
+
+
 def _bronze(name: str) -> Query:
     return _raw(name, lambda df: with_lineage(df, RAW_FILES[name], INGESTED_AT))
 
@@ -102,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "user_month_activity": _staged(marts.user_month_activity, "content_events"),
     "user_active_plans": _staged(marts.user_active_plans, "subscriptions", "plans"),
     "weekly_activity": _staged(marts.weekly_activity, "content_events"),
+    "active_users_of_four_weeks": _staged(_active_users, "content_events"),
     "weekly_renewals": _staged(marts.weekly_renewals, "subscriptions"),
     "last_activity": _staged(marts.last_activity, "content_events"),
     "failed_payments_by_user": _staged(marts.failed_payments_by_user, "payments", "subscriptions"),

@@ -9,24 +9,38 @@ then, and if the write fails, readers get the version before.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subtide.plans import marts, rollups
 from subtide.plans.marts import mart_tables
 from subtide.plans.quality import accounted_rows, dq_checks, key_copies, row_accounting
 from subtide.plans.silver import checked, longest_watch
 from subtide.plans.staging import create_staging_views, staging_tables
 from subtide.schemas import EVENT_KEY, MARTS, RAW_SCHEMAS, TABLES
-from subtide.sinks.writers import REJECTS, export_csv, run_together, write_checked, write_events, write_table
+from subtide.sinks.writers import (
+    EVENT_DATE,
+    REJECTS,
+    append_table,
+    dated,
+    export_csv,
+    replace_partitions,
+    run_together,
+    write_checked,
+    write_events,
+    write_table,
+)
 from subtide.sources.layers import existing_tables, read_layer, read_table, stored_counts
 from subtide.sources.raw_files import bronze_tables
-from subtide.sources.versions import remove_unpublished
+from subtide.sources.versions import Part, current_version, read_version, remove_unpublished
 
 LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
 #: Valid events before deduplication; every other silver table is valid rows alone.
 VALID = "valid"
+ROLLUPS = "rollups"
 
 
 def build_bronze(
@@ -61,9 +75,111 @@ def silver_layer(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     }
 
 
+def _by_month(retention: DataFrame) -> DataFrame:
+    """Retention with its partitions' column."""
+    return retention.withColumn("month", F.to_date("activity_month")).hint("rebalance", "month")
+
+
 def build_gold(spark: SparkSession, base: str, as_of: str | dt.date | None = None) -> None:
-    marts = mart_tables(staging_tables(silver_layer(spark, base)), as_of)
-    run_together(partial(write_table, df, base, "gold", name) for name, df in marts.items())
+    built = mart_tables(staging_tables(silver_layer(spark, base)), as_of)
+    retention = built.pop("mart_retention")
+    run_together([
+        partial(write_table, _by_month(retention), base, "gold", "mart_retention", "month", columns=retention.columns),
+        *(partial(write_table, df, base, "gold", name) for name, df in built.items()),
+    ])
+
+
+def add_events(spark: SparkSession, base: str, bronze_events: DataFrame, as_of: str | dt.date | None = None) -> list[dt.date]:
+    """Adds bronze rows of viewing events to all layers, and returns the days they touch.
+
+    Only these days of silver, and their months and weeks of gold, are written again, so the
+    work follows the days that changed and not the history; the result is that of a full
+    rebuild. Days may be long past. The churn mart, which weighs each user's last event, is
+    the one table computed anew.
+
+    Run again after a failure it may add the rows to bronze, valid and rejects once more;
+    silver and gold then stay right, as copies of an event are one event there.
+    """
+    # read from the files from here on, so that every step sees the same rows
+    before = {part.path for part in _parts(spark, base, "bronze")}
+    append_table(bronze_events, base, "bronze", "content_events")
+    added = _new_part(spark, base, "bronze", before)
+    before = {part.path for part in _parts(spark, base, "checked")}
+    write_checked(checked("content_events", added), base, "content_events", VALID, append=True)
+    fresh = _new_part(spark, base, "checked", before).filter(F.col("reason").isNull()).select(*RAW_SCHEMAS["content_events"].names)
+    days = sorted(r.day for r in fresh.select(F.to_date("event_ts").alias("day")).distinct().collect())  # bounded by the calendar
+    if not days:
+        return days
+
+    silver = read_table(spark, base, "silver", "content_events")
+    touched = silver.filter(F.col(EVENT_DATE).isin(days)).drop(EVENT_DATE)
+    # keeping the first of each key again changes nothing for rows that were kept before
+    again = longest_watch(touched.unionByName(fresh))
+    replace_partitions(dated(again), base, "silver", "content_events", EVENT_DATE, [str(day) for day in days])
+
+    tables = staging_tables(silver_layer(spark, base))
+    dated_events = read_table(spark, base, "silver", "content_events")
+    months = sorted({day.replace(day=1) for day in days})
+    mondays = sorted({day - dt.timedelta(days=day.weekday()) for day in days})
+    day = F.col(EVENT_DATE)
+    retention = marts.mart_retention(
+        dated_events.filter(F.trunc(day, "month").isin(months) & day.between(months[0], _month_after(months[-1]))),
+        tables["subscriptions"], tables["plans"],
+    )
+    weekly = marts.mart_weekly_metrics(
+        dated_events.filter(F.trunc(day, "week").isin(mondays) & day.between(mondays[0], mondays[-1] + dt.timedelta(days=6))),
+        tables["subscriptions"],
+    )
+    other_weeks = read_table(spark, base, "gold", "mart_weekly_metrics").filter(~F.to_date("week_start").isin(mondays))
+    churn = mart_tables(tables, as_of)["mart_churn_risk"]
+    run_together([
+        partial(replace_partitions, _by_month(retention), base, "gold", "mart_retention", "month", [str(m) for m in months]),
+        partial(write_table, weekly.unionByName(other_weeks).orderBy("week_start"), base, "gold", "mart_weekly_metrics"),
+        partial(write_table, churn, base, "gold", "mart_churn_risk"),
+    ])
+    if current_version(spark, base, ROLLUPS, "week_users"):
+        build_rollups(spark, base, mondays)
+    return days
+
+
+def _month_after(month: dt.date) -> dt.date:
+    return (month + dt.timedelta(days=32)).replace(day=1)
+
+
+def _parts(spark: SparkSession, base: str, layer: str) -> tuple[Part, ...]:
+    return current_version(spark, base, layer, "content_events").parts
+
+
+def _new_part(spark: SparkSession, base: str, layer: str, before: set[str]) -> DataFrame:
+    """The rows of the one part of the events that was not there before."""
+    version = current_version(spark, base, layer, "content_events")
+    return read_version(spark, base, replace(version, parts=tuple(p for p in version.parts if p.path not in before)))
+
+
+def build_rollups(spark: SparkSession, base: str, weeks: list[dt.date] | None = None) -> None:
+    """Users' numbers and weekly bitmaps (``plans.rollups``) from the silver events. With
+    ``weeks``, their Mondays, only these are made again, and new users numbered after the
+    others."""
+    events = read_table(spark, base, "silver", "content_events")
+    if weeks is None:
+        write_table(rollups.user_numbers(events), base, ROLLUPS, "user_numbers")
+    else:
+        events = events.filter(F.trunc(EVENT_DATE, "week").isin(weeks) & F.col(EVENT_DATE).between(weeks[0], weeks[-1] + dt.timedelta(days=6)))
+        known = current_version(spark, base, ROLLUPS, "user_numbers").rows
+        numbers = read_table(spark, base, ROLLUPS, "user_numbers")
+        append_table(rollups.new_user_numbers(events, numbers, known + 1), base, ROLLUPS, "user_numbers")
+    users = rollups.week_users(events, read_table(spark, base, ROLLUPS, "user_numbers"))
+    by_week = users.withColumn("week", F.to_date("week_start")).hint("rebalance", "week")
+    if weeks is None:
+        write_table(by_week, base, ROLLUPS, "week_users", "week", columns=users.columns)
+    else:
+        replace_partitions(by_week, base, ROLLUPS, "week_users", "week", [str(week) for week in weeks])
+
+
+def count_active_users(spark: SparkSession, base: str, span: int = rollups.SPAN_WEEKS) -> DataFrame:
+    """Users of each week and of the weeks up to it (``rollups.active_users``), from the
+    bitmaps: no event is read."""
+    return rollups.active_users(read_table(spark, base, ROLLUPS, "week_users"), span)
 
 
 def export_layers(spark: SparkSession, base: str, folder: str) -> None:
@@ -112,7 +228,7 @@ def check_layers(spark: SparkSession, base: str) -> DataFrame:
 
 def remove_unfinished(spark: SparkSession, base: str, older_than_hours: float = 24) -> list[str]:
     """Deletes what writes that failed have left, and returns the folders."""
-    layers = {**LAYERS, VALID: ("content_events",), REJECTS: TABLES, "checked": TABLES}
+    layers = {**LAYERS, VALID: ("content_events",), REJECTS: TABLES, "checked": TABLES, ROLLUPS: ("user_numbers", "week_users")}
     return [
         folder for layer, names in layers.items() for name in names
         for folder in remove_unpublished(spark, base, layer, name, older_than_hours)

@@ -3,18 +3,21 @@ there; a table is replaced in one step once all of it has been written."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtide.sources.versions import Version, new_folder, publish
+from subtide.sources.versions import Part, Version, current_version, new_folder, partitions_of, publish, read_version
 
 EVENT_DATE = "event_date"
 REJECTS = "rejects"
+#: Parts that a table may be made of before it is written as one.
+MOST_PARTS = 16
 
 
 def run_together(writes: Iterable[Callable[[], None]]) -> None:
@@ -37,37 +40,91 @@ def _stored(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema if not names or f.name in names])
 
 
-def write_table(df: DataFrame, base: str, layer: str, name: str, *by: str) -> None:
+def _only(df: DataFrame, columns: Sequence[str] | None) -> tuple[str, ...] | None:
+    return tuple(columns) if columns and list(columns) != df.columns else None
+
+
+def write_table(df: DataFrame, base: str, layer: str, name: str, *by: str, columns: Sequence[str] | None = None) -> None:
+    """The table anew; of the columns written it shows those listed, or all."""
     path = new_folder(layer, name)
     counts = _write_files(df, base, path, {"rows": F.count(F.lit(1))}, *by)
-    publish(df.sparkSession, base, layer, name, Version(path, counts["rows"], _stored(df.schema)))
+    publish(df.sparkSession, base, layer, name, Version((Part(path),), counts["rows"], _stored(df.schema), columns=_only(df, columns)))
+
 
+def append_table(df: DataFrame, base: str, layer: str, name: str) -> None:
+    """Adds the rows to a table; its files stay."""
+    spark = df.sparkSession
+    old = current_version(spark, base, layer, name)
+    path = new_folder(layer, name)
+    counts = _write_files(df.select(*old.schema.names), base, path, {"rows": F.count(F.lit(1))})
+    publish(spark, base, layer, name, replace(old, parts=(*old.parts, Part(path)), rows=old.rows + counts["rows"]))
 
-def write_checked(df: DataFrame, base: str, name: str, layer: str) -> None:
+
+def replace_partitions(df: DataFrame, base: str, layer: str, name: str, by: str, values: Collection[str]) -> None:
+    """Replaces the partitions of the given values, as they are in folders' names, by the
+    rows of ``df``, which must have no others. Partitions that get no rows go. Once many
+    writes have left parts in the table, it is written as one again."""
+    spark = df.sparkSession
+    old = current_version(spark, base, layer, name)
+    gone = {f"{by}={value}" for value in values}
+    path = new_folder(layer, name)
+    counts = _write_files(df.select(*old.schema.names), base, path, {"rows": F.count(F.lit(1))}, by)
+    found = partitions_of(spark, base, path)
+    if not set(found) <= gone:
+        raise ValueError(f"rows of other partitions: {sorted(set(found) - gone)[:5]}")
+    kept = [
+        Part(p.path, tuple(d for d in (partitions_of(spark, base, p.path) if p.partitions is None else p.partitions) if d not in gone))
+        for p in old.parts
+    ]
+    parts = tuple(p for p in (*kept, Part(path, found)) if p.partitions)
+    # counts come from the files' footers
+    rows = read_version(spark, base, replace(old, parts=tuple(p for p in kept if p.partitions))).count()
+    version = replace(old, parts=parts, rows=rows + counts["rows"])
+    if len(parts) > MOST_PARTS:
+        whole = read_version(spark, base, replace(version, columns=None))
+        write_table(whole.hint("rebalance", by), base, layer, name, by, columns=version.columns)
+    else:
+        publish(spark, base, layer, name, version)
+
+
+def _views(df: DataFrame, parts: tuple[Part, ...], kept: int, rejected: int) -> tuple[Version, Version]:
+    """Checked rows without a reason, and those with one."""
+    columns = tuple(c for c in df.columns if c not in ("reason", "raw"))
+    return (
+        Version(parts, kept, _stored(df.schema, *columns, "reason"), "reason IS NULL", columns),
+        Version(parts, rejected, _stored(df.schema, "reason", "raw"), "reason IS NOT NULL"),
+    )
+
+
+def write_checked(df: DataFrame, base: str, name: str, layer: str, append: bool = False) -> None:
     """One write for two tables: rows of ``df`` without a ``reason`` become the table of
-    ``layer``, the others the rejects. Both are views of the files in the layer ``checked``."""
+    ``layer``, or are added to it, the others the rejects. Both are views of the files in
+    the layer ``checked``."""
     spark = df.sparkSession
     path = new_folder("checked", name)
-    counts = _write_files(df, base, path, {
+    seen = _write_files(df, base, path, {
         "kept": F.count_if(F.col("reason").isNull()), "rejected": F.count_if(F.col("reason").isNotNull()),
     })
-    columns = tuple(c for c in df.columns if c not in ("reason", "raw"))
-    kept = Version(path, counts["kept"], _stored(df.schema, *columns, "reason"), "reason IS NULL", columns)
-    rejected = Version(path, counts["rejected"], _stored(df.schema, "reason", "raw"), "reason IS NOT NULL")
+    old = {part: current_version(spark, base, part, name) if append else None for part in (layer, REJECTS, "checked")}
+    parts = (*(old["checked"].parts if append else ()), Part(path))
+    kept = seen["kept"] + (old[layer].rows if append else 0)
+    rejected = seen["rejected"] + (old[REJECTS].rows if append else 0)
+    views = _views(df, parts, kept, rejected)
     # the files belong to the table published last: older ones go with it
-    publish(spark, base, layer, name, kept)
-    publish(spark, base, REJECTS, name, rejected)
-    publish(spark, base, "checked", name, Version(path, sum(counts.values()), _stored(df.schema)))
+    publish(spark, base, layer, name, views[0])
+    publish(spark, base, REJECTS, name, views[1])
+    publish(spark, base, "checked", name, Version(parts, kept + rejected, _stored(df.schema)))
 
 
-def write_events(df: DataFrame, base: str, layer: str, name: str = "content_events") -> None:
-    """Events in one folder per day.
+def dated(events: DataFrame) -> DataFrame:
+    """Events with their day, gathered so that a write task opens few files; adaptive
+    execution splits a day that is larger than the advisory size."""
+    return events.withColumn(EVENT_DATE, F.to_date("event_ts")).hint("rebalance", EVENT_DATE)
 
-    The rebalance gathers each day before the write, so a task opens few files, and
-    adaptive execution splits a day that is larger than the advisory size.
-    """
-    dated = df.withColumn(EVENT_DATE, F.to_date("event_ts"))
-    write_table(dated.hint("rebalance", EVENT_DATE), base, layer, name, EVENT_DATE)
+
+def write_events(df: DataFrame, base: str, layer: str, name: str = "content_events") -> None:
+    """Events in one folder per day."""
+    write_table(dated(df), base, layer, name, EVENT_DATE)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

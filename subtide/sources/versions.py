@@ -5,6 +5,8 @@ numbered files, each describing one version. A write makes new files first and t
 the next number; readers take the greatest. So a table is replaced in one step, a write
 that fails or is killed leaves the old version in place, and who has begun to read a
 version goes on reading it while the next one is written. The last ``KEEP`` versions stay.
+A version may take over files of the one before: one that adds rows has them all, one that
+replaces partitions those of the others.
 
 One writer at a time may replace a table; two tables, or a writer and any number of
 readers, do not disturb each other. The files are handled by Hadoop's file systems, as
@@ -21,16 +23,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from subtide.operators.rows import stack
+
 KEEP = 2
 PREFIX = "v-"
 
 
 @dataclass(frozen=True)
-class Version:
-    """Files under ``path`` (relative to the base) with their columns. Of them the table has
-    the rows for which ``where`` holds, ``rows`` of them, and the listed columns."""
+class Part:
+    """Files of one write, in a folder relative to the base: all of them, or those of some
+    of its partitions' folders."""
 
     path: str
+    partitions: tuple[str, ...] | None = None
+
+
+@dataclass(frozen=True)
+class Version:
+    """Parts of one or more writes, with their columns. Of them the table has the rows for
+    which ``where`` holds, ``rows`` of them, and the listed columns."""
+
+    parts: tuple[Part, ...]
     rows: int
     schema: T.StructType
     where: str | None = None
@@ -38,15 +51,16 @@ class Version:
 
     def to_json(self) -> str:
         return json.dumps({
-            "path": self.path, "rows": self.rows, "schema": self.schema.jsonValue(),
-            "where": self.where, "columns": self.columns,
+            "parts": [[p.path, p.partitions] for p in self.parts], "rows": self.rows,
+            "schema": self.schema.jsonValue(), "where": self.where, "columns": self.columns,
         })
 
     @staticmethod
     def from_json(text: str) -> Version:
         held = json.loads(text)
+        parts = tuple(Part(path, some if some is None else tuple(some)) for path, some in held["parts"])
         columns = held["columns"] and tuple(held["columns"])
-        return Version(held["path"], held["rows"], T.StructType.fromJson(held["schema"]), held["where"], columns)
+        return Version(parts, held["rows"], T.StructType.fromJson(held["schema"]), held["where"], columns)
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -115,23 +129,41 @@ def current_version(spark: SparkSession, base: str, layer: str, name: str) -> Ve
     return Version.from_json(files.read(f"{folder}/_versions/{numbers[-1]}")) if numbers else None
 
 
+def partitions_of(spark: SparkSession, base: str, path: str) -> tuple[str, ...]:
+    """The names of the partitions' folders that a write has made."""
+    folder = f"{base.rstrip('/')}/{path}"
+    return tuple(sorted(n for n in _Files(spark, folder).names(folder) if "=" in n))
+
+
 def publish(spark: SparkSession, base: str, layer: str, name: str, version: Version) -> None:
-    """Makes the version the table, and deletes the versions, with such files as lie in the
-    table's own folder, that are older than the last ``KEEP``."""
+    """Makes the version the table, and forgets those older than the last ``KEEP``. Their
+    files in the table's own folder are deleted, but for parts that a newer one has too."""
     folder = table_path(base, layer, name)
     files = _Files(spark, folder)
     numbers = _numbers(files, folder)
     following = int(numbers[-1].removesuffix(".json")) + 1 if numbers else 0
     files.write_whole(f"{folder}/_versions/{following:09d}.json", version.to_json())
-    for old in numbers[: max(0, len(numbers) + 1 - KEEP)]:
-        path = Version.from_json(files.read(f"{folder}/_versions/{old}")).path
-        files.delete(f"{folder}/_versions/{old}")
-        if path.startswith(f"{layer}/{name}/"):
-            files.delete(f"{base.rstrip('/')}/{path}")
+    held = [Version.from_json(files.read(f"{folder}/_versions/{n}")) for n in numbers]
+    old = max(0, len(numbers) + 1 - KEEP)
+    wanted = {part.path for kept in [*held[old:], version] for part in kept.parts}
+    for number, forgotten in zip(numbers[:old], held):
+        files.delete(f"{folder}/_versions/{number}")
+        for path in {part.path for part in forgotten.parts} - wanted:
+            if path.startswith(f"{layer}/{name}/"):
+                files.delete(f"{base.rstrip('/')}/{path}")
 
 
 def read_version(spark: SparkSession, base: str, version: Version) -> DataFrame:
-    df = spark.read.schema(version.schema).parquet(f"{base.rstrip('/')}/{version.path}")
+    base = base.rstrip("/")
+
+    def read(part: Part) -> DataFrame:
+        reader = spark.read.schema(version.schema)
+        if part.partitions is None:
+            return reader.parquet(f"{base}/{part.path}")
+        return reader.option("basePath", f"{base}/{part.path}").parquet(*(f"{base}/{part.path}/{p}" for p in part.partitions))
+
+    parts = [part for part in version.parts if part.partitions != ()]
+    df = stack(list(map(read, parts))) if parts else spark.createDataFrame([], version.schema)
     if version.where:
         df = df.filter(version.where)
     return df.select(*version.columns) if version.columns else df
@@ -142,7 +174,7 @@ def remove_unpublished(spark: SparkSession, base: str, layer: str, name: str, ol
     for so long; returns their folders."""
     folder = table_path(base, layer, name)
     files = _Files(spark, folder)
-    published = {v.path.rpartition("/")[2] for v in _history(files, folder)}
+    published = {part.path.rpartition("/")[2] for v in _history(files, folder) for part in v.parts}
     left = [
         n for n in files.names(folder)
         if n.startswith(PREFIX) and n not in published and files.age(f"{folder}/{n}") > older_than_hours * 3600
