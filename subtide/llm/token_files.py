@@ -24,7 +24,7 @@ from subtide.llm.scratch import partitions_for, store
 RECORD_IDS = 1 << 18
 END_ID = 1
 #: Bytes of text that are encoded at once; words that a worker remembers.
-SLICE, TABLE_ROWS = 8 << 20, 700_000
+SLICE, TABLE_ROWS = 16 << 20, 1_200_000
 #: Fixed value: a pattern whose matches are runs of letters, single digits, and runs of
 #: other characters; what lies between them is dropped.
 WORDS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
