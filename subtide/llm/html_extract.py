@@ -22,7 +22,8 @@ from subtide.llm.labelled_pages import LABEL, labelled_pages
 from subtide.llm.pieces import text_slices
 
 #: A quote delimits a value only straight after "=", elsewhere it is a character like others.
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))*+)>|<[!?][^>]*>", re.S)
+#: A tag without an end goes on to the end of the page, as browsers have it.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>]*+))*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(rf"\b(class|id|role|{LABEL})\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: Fixed values of HTML.
@@ -65,7 +66,10 @@ def parse(page: str | None, labelled: bool = False) -> Page:
     out = Page(["#"], [NOWHERE], [()], [0], [], [0])
     if not page:
         return out
-    stack: list[tuple[str, int, bool]] = [("#", 0, False)]  # open tags, their elements, and whether blocks and end tags stay inside
+    stack: list[tuple[str, int]] = [("#", 0)]  # open tags and their elements
+    where: dict[str, list[int]] = {}  # for each tag the depths at which it is open
+    blocks: list[int] = [0]  # depths of open tags that are not inline
+    fences: list[int] = [0]  # depths of open tags that blocks and end tags stay inside
     block = links = at = dropped = 0
     ended_at: dict[str, set[int]] = {}
 
@@ -78,11 +82,19 @@ def parse(page: str | None, labelled: bool = False) -> Page:
 
     def close(depth: int) -> None:
         nonlocal block, links, dropped
-        for tag, *_ in reversed(stack[depth:]):
+        for tag, _ in reversed(stack[depth:]):
             links -= tag == "a"
             block += not dropped and tag not in INLINE
             dropped -= tag in DROPPED
+            where[tag].pop()
         del stack[depth:]
+        for depths in (blocks, fences):
+            while depths[-1] >= depth:
+                depths.pop()
+
+    def innermost(tags: set[str]) -> int:
+        """The depth of the innermost open tag of these; 0 if none is open."""
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
 
     def has_end(tag: str, start: int) -> bool:
         """Whether the element that starts there has an end tag of its own."""
@@ -103,33 +115,21 @@ def parse(page: str | None, labelled: bool = False) -> Page:
             continue
         tag = match[2].lower()
         if match[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if tag in INLINE and stack[depth][0] not in INLINE or stack[depth][2]:
-                    break
+            depth = innermost({tag})
+            if depth and depth >= fences[-1] and (tag not in INLINE or depth >= blocks[-1]):
+                close(depth)
             continue
-        if dropped and tag in ENDS_PARAGRAPH and tag not in VOID:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][2] or stack[depth][0] == "foreignobject":
-                    break
-                if stack[depth][0] in DROPPED:
-                    close(depth)
         if tag in ENDS_PARAGRAPH:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == "p":
+            if dropped and tag not in VOID:
+                while (depth := innermost(DROPPED)) > max(fences[-1], innermost({"foreignobject"})):
                     close(depth)
-                    break
-                if stack[depth][0] in PARAGRAPH_BARRIER or stack[depth][2]:
-                    break
+            depth = innermost({"p"})
+            if depth > max(fences[-1], innermost(PARAGRAPH_BARRIER)):
+                close(depth)
         if tag in CLOSES:
             ended, barrier = CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in barrier or stack[depth][2]:
-                    break
-                if stack[depth][0] in ended:
-                    close(depth)
+            while (depth := innermost(ended)) > max(fences[-1], innermost(barrier)):
+                close(depth)
         if tag in VOID:
             block += not dropped and tag in ("br", "hr")
             continue
@@ -159,7 +159,13 @@ def parse(page: str | None, labelled: bool = False) -> Page:
             out.linked.append(0)
         links += tag == "a"
         if not match[3].endswith("/") or tag in INLINE or tag in ENDS_PARAGRAPH:
-            stack.append((tag, node, tag in FALLBACK and has_end(tag, match.start())))
+            depth = len(stack)
+            stack.append((tag, node))
+            where.setdefault(tag, []).append(depth)
+            if tag not in INLINE:
+                blocks.append(depth)
+            if tag in FALLBACK and has_end(tag, match.start()):
+                fences.append(depth)
             dropped += tag in DROPPED
     text(len(page))
     return out

@@ -2,6 +2,7 @@
 
 import html
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -111,3 +112,19 @@ def test_table(spark, small, model):
     found = sorted(map(tuple, hx.extract(odd, model).collect()), key=str)
     assert found == sorted([(1, None, "", 0), (None, "u", "", 0), (2, "u", "Hi, there.", 10), (2, "u", "Hi, there.", 10)], key=str)
     assert hx.extract(odd.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("odd_page", [
+    "<script " * 60_000, "<a " * 300_000, '<a ="' * 200_000, '<a =">" ' * 150_000, "<!--" * 200_000, "<" * 1_000_000,
+    "<div>" * 60_000 + "</span>" * 60_000 + "</p>" * 60_000, "<p><button>" + "<b>" * 60_000 + "<hr>" * 60_000,
+    "<li><ul>" + "<b>" * 60_000 + "<li>" * 60_000, "<object>" * 30_000 + "</p>" * 30_000,
+])
+def test_odd_pages_take_time_in_proportion(odd_page):
+    start = time.process_time()
+    hx.parse(odd_page)
+    assert time.process_time() - start < 4
+
+
+def test_a_tag_without_an_end_takes_the_rest():
+    pieces = hx.parse("<p>Kept text.</p><a href=x never ends").pieces
+    assert [text for _, _, text in pieces] == ["Kept text."]
