@@ -13,10 +13,11 @@ from math import ceil, erf, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.llm.scratch import store
+from subtide.operators.joins import hash_join
 
 LINES, FIRST_LINES = 128, 32
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
@@ -61,15 +62,13 @@ class Block:
             outside += (self.order[j, :low], self.order[j, high:])
         return np.bincount(np.concatenate(outside), minlength=n)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k nearest vectors found, but for the query's own."""
+    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and inner products of the k nearest vectors found."""
         query = query.astype(np.float64)
         length = np.sqrt((query**2).sum())
         at = lines_cached(len(query)) @ np.append(query / length, 0)
-        others = self.ids != query_id
 
         def best(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            rows = rows[others[rows]]
             scores = self.vectors[rows] @ query
             first = np.lexsort((self.ids[rows], -scores))[:k]
             return rows[first], scores[first]
@@ -102,8 +101,9 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
     return np.asarray(column.combine_chunks().flatten(), dtype=np.float64).reshape(rows, -1)
 
 
-def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """A row for each block: dims, block, ids, vectors, order, places (as bytes)."""
+def build_index(vectors: DataFrame, blocks: dict[int, int]) -> DataFrame:
+    """A row for each block: dims, block, ids, vectors, order, places (as bytes). ``blocks``
+    says for each length of vectors how many there are."""
     def build(table: pa.Table) -> pa.Table:
         ids = np.asarray(table.column("id"))
         block = Block(ids, _matrix(table.column("vector"), len(ids)))
@@ -111,11 +111,23 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         data = [block.ids.astype("<i8"), block.vectors.astype("<f8"), block.order.astype("<i4"), block.places.astype("<f8")]
         return pa.table({"dims": values[:1], "block": values[1:]} | {n: [d.tobytes()] for n, d in zip(("ids", "vectors", "order", "places"), data)})
 
-    sizes = vectors.groupBy("dims").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    dealt = vectors.join(sizes, "dims").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), _of_length(blocks)).cast("int")).select("dims", "block", "id", "vector")
     return dealt.groupBy("dims", "block").applyInArrow(build, "dims int, block int, ids binary, vectors binary, order binary, places binary")
 
 
+def _per_length(vectors: DataFrame, rows: int) -> dict[int, int]:
+    """For each length of vectors, how many groups of so many rows they make."""
+    return {r.dims: ceil(r.n / rows) for r in vectors.groupBy("dims").agg(F.count("*").alias("n")).collect()}
+
+
+def _of_length(numbers: dict[int, int]) -> Column:
+    """The number of the row's length, a literal for the few lengths there are; null for
+    others."""
+    if not numbers:
+        return F.lit(None).cast("int")
+    return F.element_at(F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair)), F.col("dims"))
+
+
 def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
     """id, vector, dims of the rows that take part: no null, zero or empty vector, no null or
     non-finite component. Of rows with one id the least vector counts."""
@@ -124,24 +136,38 @@ def usable(table: DataFrame, key: str, vector: str) -> DataFrame:
     return (
         table.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
         .filter(F.col("id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
-        .groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dims", F.size("vector"))
+        # 0.0 for -0.0, so that equal vectors are one group
+        .groupBy("id").agg(F.transform(F.min("vector"), lambda x: x + 0.0).alias("vector")).withColumn("dims", F.size("vector"))
     )
 
 
+def distinct_vectors(kept: DataFrame, most: int) -> DataFrame:
+    """(id, vector, dims, copies): each different vector once, under its least id, with the
+    ``most`` least ids that have it. Of a vector's rows each task passes only so many on."""
+    least = Window.partitionBy("vector").orderBy("id")
+    first = kept.withColumn("nth", F.row_number().over(least)).filter(F.col("nth") <= most)
+    return first.groupBy("vector", "dims").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("copies")).select("id", "vector", "dims", "copies")
+
+
 def nearest(table: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each query its k nearest rows of the table with
     another id, nearest first, ties to the smaller id; scores are exact inner products in
-    double precision. Only vectors of one length are compared. Every row is indexed; blocks
-    of queries meet blocks of the index, and a query's results are merged."""
-    kept = store(usable(table, key, vector), "vectors")
-    index = store(build_index(kept), "vector-index")
-    asked = usable(queries, key, vector)
-    groups = asked.groupBy("dims").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("groups"))
-    blocks = kept.groupBy("dims").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    dealt = store(
-        asked.join(groups, "dims").join(blocks, "dims").withColumn("group", F.pmod(F.xxhash64("id"), "groups").cast("int")), "vector-queries"
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = index.join(groups, "dims").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    double precision. Every row is indexed; blocks of queries meet blocks of the index, and
+    a query's results are merged.
+
+    Rows with equal vectors are searched as one and are all found with it, by ascending id.
+    Vectors that are null, empty or zero, or hold null or non-finite entries take no part;
+    neither do null ids; of rows with one id the least vector counts. Only vectors of one
+    length are compared. Empty tables give no row.
+    """
+    kept = store(distinct_vectors(usable(table, key, vector), k + 1), "vectors")
+    asked = store(usable(queries, key, vector), "vector-queries")
+    blocks, groups = _per_length(kept, BLOCK_ROWS), _per_length(asked, QUERY_ROWS)
+    index = store(build_index(kept, blocks), "vector-index")
+    dealt = asked.withColumn("group", F.pmod(F.xxhash64("id"), _of_length(groups)).cast("int")).select(
+        "dims", "id", "vector", "group", F.explode(F.sequence(F.lit(0), _of_length(blocks) - 1)).alias("block")
+    )
+    spread = index.withColumn("group", F.explode(F.sequence(F.lit(0), _of_length(groups) - 1)))
 
     def search(index: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -154,11 +180,18 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_i
                 np.frombuffer(row["order"], "<i4").reshape(LINES, n), np.frombuffer(row["places"], "<f8").reshape(LINES, n),
             )
             for query_id, query in zip(asked.column("id").to_pylist(), _matrix(asked.column("vector"), asked.num_rows)):
-                found, scores = block.search(query_id, query, k)
+                # one more, as the query's own vector is among them
+                found, scores = block.search(query, k + 1)
                 out.append((np.full(len(found), query_id), found, scores))
-        query_ids, vec_ids, scores = (np.concatenate(x) for x in zip(*out)) if out else ([], [], [])
-        return pa.table({"query_id": pa.array(query_ids, pa.int64()), "vec_id": pa.array(vec_ids, pa.int64()), "score": pa.array(scores, pa.float64())})
+        query_ids, ids, scores = (np.concatenate(x) for x in zip(*out)) if out else ([], [], [])
+        return pa.table({"query_id": pa.array(query_ids, pa.int64()), "id": pa.array(ids, pa.int64()), "score": pa.array(scores, pa.float64())})
+
+    found = spread.groupBy("dims", "block", "group").cogroup(dealt.groupBy("dims", "block", "group")).applyInArrow(search, "query_id long, id long, score double")
+
+    def first(rows: DataFrame, column: str, n: int) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), column)
+        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
-    found = spread.groupBy("dims", "block", "group").cogroup(dealt.groupBy("dims", "block", "group")).applyInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = first(found, "id", k + 1).drop("rank")
+    rows = hash_join(best, kept.select("id", "copies"), ["id"], "inner").select("query_id", "score", F.explode("copies").alias("vec_id"))
+    return first(rows.filter("vec_id <> query_id"), "vec_id", k).select("query_id", "rank", "vec_id", "score")

@@ -56,3 +56,29 @@ def test_windows_count_what_lies_outside():
     for radius in (0.1, 0.7, 3.0):
         inside = (places >= (at - ann.REACH * radius)[:, None]) & (places < (at + ann.REACH * radius)[:, None])
         assert (block.misses(at, radius) == (~inside).sum(axis=0)).all()
+
+
+def test_many_copies_of_one_vector(spark):
+    """A thousand copies near the queries: the least ids of them are found, by rank."""
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((1500, 16))
+    ids = list(range(1500))
+    copied = rng.permutation(1500)[:1000]
+    vectors[copied] = vectors[copied[0]]
+    vectors[3] = -0.0 * vectors[3]  # a zero vector, of either sign
+    near = np.concatenate([vectors[copied[:1]] + 0.05 * rng.standard_normal((40, 16)), rng.standard_normal((20, 16))])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+    asked = [(5000 + i, v.tolist()) for i, v in enumerate(near)] + [(int(i), vectors[i].tolist()) for i in copied[:10]]
+    found = {}
+    for r in ann.nearest(table, spark.createDataFrame(asked, "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    hits = 0
+    for query_id, v in asked:
+        scores = vectors @ np.array(v)
+        order = [i for i in sorted(ids, key=lambda i: (-scores[i], i)) if i != query_id and vectors[i].any()][:20]
+        mine = [i for _, i in sorted(found[query_id])]
+        assert len(mine) == 20
+        hits += len(set(mine) & set(order))
+        if vectors[order[-1]].tolist() == vectors[copied[0]].tolist() == vectors[order[0]].tolist():
+            assert mine == order
+    assert hits / (20 * len(asked)) > 0.98
