@@ -1,5 +1,5 @@
 """Connected components by alternating stars: every round is two joins, and no group is
-gathered."""
+gathered; a node with very many neighbours is split over tasks."""
 
 from __future__ import annotations
 
@@ -7,19 +7,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm.scratch import store
+from subtide.operators.joins import hash_join
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours are tied to its least one."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return hash_join(both, least, ["a"], "inner").filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node's smaller neighbours, and the node, are tied to the least of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    tied = edges.join(least, "a")
+    tied = hash_join(edges, least, ["a"], "inner")
     return (
         tied.filter("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         .unionByName(least.select("a", F.col("least").alias("b"))).distinct()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm.fm_index import FMIndex
 from subtide.llm.pieces import spans_of, text_slices
-from subtide.llm.scratch import store
+from subtide.llm.scratch import free_name, store
 
 WINDOW = 10
 SHARD_BYTES = 16 << 20
@@ -184,25 +184,26 @@ def hit_words(spans: Column) -> Column:
 def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) -> DataFrame:
     """remove_passages for several groups of items: a round searches the uncut texts for every
     group, each task for one, and cuts the merged spans; cut texts meet all groups again."""
-    spans_type, carried = "array<struct<a:int,b:int>>", ["__row", "__spans"]
+    row, spans_name, was_cut = (free_name(docs, name) for name in ("__row", "__spans", "__cut"))
+    spans_type, carried = "array<struct<a:int,b:int>>", [row, spans_name]
     arrow_spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-    schema = docs.select("*", F.lit(True).alias("__cut")).schema
+    schema = docs.select("*", F.lit(True).alias(was_cut)).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text):
             texts, keep, hit = batch.column(text).to_pylist(), [], []
-            for i, found in enumerate(batch.column("__spans").to_pylist()):
+            for i, found in enumerate(batch.column(spans_name).to_pylist()):
                 hit.append(bool(found))
                 if found:
                     texts[i] = cut_spans(texts[i], merge_spans([(x["a"], x["b"]) for x in found]))
                 keep.append(not found or WORD.search(texts[i]) is not None)
             at = batch.schema.get_field_index(text)
             batch = batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type)).drop_columns(carried)
-            yield batch.append_column("__cut", pa.array(hit)).filter(pa.array(keep))
+            yield batch.append_column(was_cut, pa.array(hit)).filter(pa.array(keep))
 
     doubtful, clean = docs, []
     while True:
-        numbered = store(doubtful.withColumn("__row", F.monotonically_increasing_id()), "uncut")
+        numbered = store(doubtful.withColumn(row, F.monotonically_increasing_id()), "uncut")
         hits = []
         for name, items in groups:
             def search(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
@@ -210,14 +211,14 @@ def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) ->
                 for batch in text_slices(batches, text, SHARD_BYTES):
                     _, spans, _ = phrases.search(batch.column(text).to_pylist())
                     found = [[{"a": a, "b": b} for a, b in s] for s in spans if s]
-                    rows = batch.column("__row").filter(pa.array([bool(s) for s in spans]))
+                    rows = batch.column(row).filter(pa.array([bool(s) for s in spans]))
                     yield pa.RecordBatch.from_arrays([rows, pa.array(found, arrow_spans)], names=carried)
 
-            hits.append(numbered.select("__row", text).mapInArrow(search, f"__row long, __spans {spans_type}"))
-        found = reduce(DataFrame.unionByName, hits).groupBy("__row").agg(F.flatten(F.collect_list("__spans")).alias("__spans"))
-        searched = store(numbered.join(found, "__row", "left").select(*docs.columns, *carried).mapInArrow(cut, schema), "cut")
-        clean.append(searched.filter("NOT __cut").drop("__cut"))
-        doubtful = searched.filter("__cut").drop("__cut")
+            hits.append(numbered.select(row, text).mapInArrow(search, f"{row} long, {spans_name} {spans_type}"))
+        found = reduce(DataFrame.unionByName, hits).groupBy(row).agg(F.flatten(F.collect_list(spans_name)).alias(spans_name))
+        searched = store(numbered.join(found, row, "left").select(*docs.columns, *carried).mapInArrow(cut, schema), "cut")
+        clean.append(searched.filter(~F.col(was_cut)).drop(was_cut))
+        doubtful = searched.filter(was_cut).drop(was_cut)
         if doubtful.isEmpty():
             return reduce(DataFrame.unionByName, clean)
 

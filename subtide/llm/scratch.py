@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Writes df once and reads it back: later jobs neither recompute it nor depend on
-    an executor that held it."""
+    an executor that held it. Who runs the job clears the folder when its result has been
+    used; results are read from there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
@@ -32,3 +33,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def partitions_for(spark: SparkSession, least: int = 1) -> int:
     """The session's number of shuffle partitions."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """The name, or one like it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from subtide.llm.components import connected_components
 from subtide.llm.pieces import text_slices
-from subtide.llm.scratch import partitions_for, store
+from subtide.llm.scratch import free_name, partitions_for, store
+from subtide.operators.joins import hash_join
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -188,17 +189,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
     allowed and never the least; a component of only such ids has a null component_id.
     """
     prints = store(fingerprints(docs, key, text), "fingerprints")
-    return prints.join(_classes(prints, radius), "fp").select("doc_id", "fp", "component_id")
+    return hash_join(prints, _classes(prints, radius), ["fp"], "inner").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """docs with its columns and one row of each component: that of the least id; of its
-    repeated rows one. A null id counts as the greatest."""
-    names = docs.columns
-    numbered = store(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    prints = store(fingerprints(numbered.select(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "__row").alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
-    kept = prints.join(_classes(prints, radius), "fp").groupBy("root").agg(F.min("doc_id").alias("doc_id"))
-    return numbered.join(kept.select(F.col("doc_id.__row").alias("__row")), "__row", "left_semi").select(names)
+    repeated rows one. A null id counts as the greatest. Null, empty and blank texts are one
+    component; an empty table gives no row."""
+    names, row = docs.columns, free_name(docs, "__row")
+    numbered = store(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    ids = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col(row).alias("row"))
+    prints = store(fingerprints(numbered.select(ids.alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
+    kept = hash_join(prints, _classes(prints, radius), ["fp"], "inner").groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+    return numbered.join(kept.select(F.col("doc_id.row").alias(row)), row, "left_semi").select(names)
 
 
 def fingerprint_hex(fp: Column) -> Column:

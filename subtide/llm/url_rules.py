@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subtide.llm.scratch import partitions_for, store
+from subtide.operators.joins import hash_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (verdict, host, path)
@@ -79,7 +80,8 @@ def boundaries(rules: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", page_id: str = "page_id", url: str = "url") -> DataFrame:
     """One row per row of pages: page_id, host, path, rule, verdict. The longest rule that
     fits wins; if none does, rule is null and the verdict is the default. Null urls and
-    urls without :// have an empty host and path, which no rule fits."""
+    urls without :// have an empty host and path, which no rule fits. Very long urls are
+    judged whole; an empty table of pages gives no row, one of rules the default."""
     spark = pages.sparkSession
     host, path = host_and_path(F.col(url))
     parsed = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -120,6 +122,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", page_
         swept.filter((F.col("kind") == 1) & F.col("top").isNotNull())
         .groupBy("host", "path").agg(F.max(F.struct(F.length("top.rule").alias("size"), "top.rule", "top.verdict")).alias("best"))
     )
-    return parsed.join(best, ["host", "path"], "left").select(
+    # a popular url, or null ones, may be a large share of the pages
+    return hash_join(parsed, best, ["host", "path"]).select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )
