@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import decontaminate, simhash, toxicity
 from subtide.llm.queries import bpe_digests, table
-from subtide.llm.scratch import store
+from subtide.llm.scratch import free_name, store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,14 +28,15 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without windows of the benchmark's items, n_chars counted anew where a text was
     cut; a document that holds no other word goes."""
-    cleaned = decontaminate.remove_passages(docs.withColumn("__was", F.xxhash64("text")), table(spark, sf_dir, "benchmark"))
+    was = free_name(docs, "__was")
+    cleaned = decontaminate.remove_passages(docs.withColumn(was, F.xxhash64("text")), table(spark, sf_dir, "benchmark"))
     counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    n_chars = F.when(F.xxhash64("text") == F.col("__was"), F.col("n_chars")).otherwise(counted)
+    n_chars = F.when(F.xxhash64("text") == F.col(was), F.col("n_chars")).otherwise(counted)
     return cleaned.withColumn("n_chars", n_chars).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256; a null text is empty."""
     return bpe_digests(docs)
 
 
@@ -51,6 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in their order over documents; the last one's rows. Null and empty texts
+    count as one text, of which the least id stays; rows with null ids are kept like others;
+    an empty table of documents, labels or benchmark items is no error."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), name)
