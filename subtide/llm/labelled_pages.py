@@ -24,12 +24,15 @@ OTHER_NAMES = {
     "share": ("share", "social", "sharing", "share-buttons", "follow", "social-links", "toolbar"),
 }
 TAGS = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form", "comments": "section"}
+#: Names of parts that only arrange what is in them.
+NEUTRAL_NAMES = ("", "", "", "inner", "col", "column", "row", "block", "wrap", "wrapper", "container", "left", "right", "cell", "grid", "box")
 SYLLABLES = "an be co da el fi go ha in jo ka li mo na or pe qui ra su ti un ve wo ya zu é ß ñ ó".split()
 
 
 class _Pages:
     def __init__(self, seed: int):
         self.draw = random.Random(seed)
+        self.paragraph = "p"
 
     def words(self, n: int, stops: bool = True) -> str:
         out = ["".join(self.draw.choice(SYLLABLES) for _ in range(self.draw.randint(1, 4))) for _ in range(n)]
@@ -46,9 +49,13 @@ class _Pages:
         close = "" if tag in ("p", "li") and self.draw.random() < 0.2 else f"</{tag}>"
         return f'<{tag} {LABEL}="{label}"{attribute}>{inner}{close}'
 
-    def prose(self, label: int, paragraphs: int) -> str:
+    def prose(self, label: int, paragraphs: int, nested: int = 0) -> str:
         out = []
         for _ in range(paragraphs):
+            if nested < 2 and self.draw.random() < 0.1:
+                tag = self.draw.choice(("div", "div", "section"))
+                out.append(self.element(tag, label, self.prose(label, self.draw.randint(1, 3), nested + 1), self.draw.choice(NEUTRAL_NAMES)))
+                continue
             n = self.draw.choice((2, 5, 12, 30, 60, 120))
             inner = self.words(n)
             kind = self.draw.random()
@@ -56,7 +63,7 @@ class _Pages:
                 inner = f"<b>{inner}<br>"
             elif kind < 0.3:
                 inner += f" {self.link(2)} <em>{self.words(3)}</em>"
-            out.append(self.element("p", label, inner))
+            out.append(self.element("p" if label == 0 else self.paragraph, label, inner))
             if self.draw.random() < 0.12:
                 out.append(self.element(self.draw.choice(("h2", "h3")), label, self.words(4, False)))
             if self.draw.random() < 0.08:
@@ -66,6 +73,12 @@ class _Pages:
             if self.draw.random() < 0.04:
                 row = lambda tag: self.element("tr", label, "".join(self.element(tag, label, self.words(2, False)) for _ in range(3)))
                 out.append(self.element("table", label, row("th") + row("td") + row("td")))
+            if self.draw.random() < 0.05:
+                caption = self.element("figcaption", label, self.words(6)) if self.draw.random() < 0.7 else ""
+                out.append(self.element("figure", label, '<img src="x.png">' + caption))
+            if self.draw.random() < 0.03:
+                terms = "".join(self.element("dt", label, self.words(2, False)) + self.element("dd", label, self.words(8)) for _ in range(3))
+                out.append(self.element("dl", label, terms))
             if self.draw.random() < 0.04:
                 out.append(self.element("pre", label, self.words(8, False)))
         return "".join(out)
@@ -94,12 +107,24 @@ class _Pages:
 
     def page(self) -> str:
         some = lambda *kinds: "".join(self.other(k) for k in kinds if self.draw.random() < 0.6)
+        self.paragraph = "p" if self.draw.random() < 0.85 else "div"  # some authors have no other
         title = self.element("h1", 1, self.words(6, False)) if self.draw.random() < 0.8 else ""
+        if title and self.draw.random() < 0.25:  # an article's own header
+            title = self.element("header", 1, title + self.element("p", 1, self.words(9)) * (self.draw.random() < 0.5), self.draw.choice(("", "", "entry-header", "post-header", "article-header")))
         inside = some("share", "ad") if self.draw.random() < 0.4 else ""
         long = self.draw.random() < 0.8
         text = title + self.prose(1, self.draw.randint(1, 6) if long else 1) + inside + self.prose(1, self.draw.randint(0, 8) if long else 0)
         layout = self.draw.random()
-        if layout < 0.35:
+        beside = lambda tag: self.element(tag, 0, self.draw.choice((self.other("nav"), self.other("aside"), self.element("ul", 0, "".join(self.element("li", 0, self.link(2)) for _ in range(5))), "".join(self.element("p", 0, self.link(2)) for _ in range(4)))), self.draw.choice(NEUTRAL_NAMES))
+        if layout < 0.2 and self.draw.random() < 0.6:  # little beside links
+            text = title * (self.draw.random() < 0.4) + self.prose(1, self.draw.randint(1, 4))
+        if layout < 0.08:  # cells of a table
+            cells = [beside("td"), self.element("td", 1, text, self.draw.choice(NEUTRAL_NAMES))]
+            main = self.element("table", 0, self.element("tr", 0, "".join(cells if self.draw.random() < 0.7 else cells[::-1])))
+        elif layout < 0.2:  # columns without telling names
+            parts = [beside("div"), self.element("div", 1, text, self.draw.choice(NEUTRAL_NAMES))]
+            main = self.element("div", 0, "".join(parts if self.draw.random() < 0.7 else parts[::-1]), self.draw.choice(NEUTRAL_NAMES))
+        elif layout < 0.42:
             main = self.element("article", 1, text, self.draw.choice(("", "", "post", "story")))
         elif layout < 0.5:
             main = self.element("main", 1, self.element("article", 1, text) if self.draw.random() < 0.5 else text)
@@ -119,6 +144,6 @@ class _Pages:
         return f'<!DOCTYPE html><html {LABEL}="0">{head}<body {LABEL}="{int(layout >= 0.9)}">{body}{end}'
 
 
-def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 1000, seed: int = 11) -> list[str]:
     pages = _Pages(seed)
     return [pages.page() for _ in range(n)]

@@ -67,6 +67,25 @@ def test_cases(model, page, expected):
     assert expected is None or found == expected
 
 
+WORDS = "Some words of the text, and more of them here. " * 4
+TEXT = " ".join(WORDS.split())
+LINKS = "<ul><li><a href=a>One</a><li><a href=b>Two</a></ul>"
+
+
+@pytest.mark.parametrize("page, expected", [
+    # gold texts written by hand, not by the generator of labelled pages
+    (f"<nav>{LINKS}</nav><article><p>{WORDS}</p><div><p>{WORDS}</p></div><p>{WORDS}</p></article>", [TEXT] * 3),
+    (f"<table><tr><td>{LINKS}</td><td><h1>The title</h1><p>{WORDS}</p><p>{WORDS}</p></td></tr></table>", ["The title", TEXT, TEXT]),
+    (f"<div class=row><div class=col>{LINKS}</div><div class=col><p>{WORDS}</p><p>{WORDS}</p><p>{WORDS}</p></div></div>", [TEXT] * 3),
+    (f"<header><h1>The title</h1></header><article><p>{WORDS}</p><p>{WORDS}</p></article><footer>&copy; me</footer>", ["The title", TEXT, TEXT]),
+    (f"<article><header><h1>The title</h1></header><p>{WORDS}</p></article><footer>&copy; me</footer>", ["The title", TEXT]),
+    (f"<div class=content><div>{WORDS}</div><div>{WORDS}</div><ul><li>{WORDS}<li>item</ul></div>", [TEXT, TEXT, TEXT, "item"]),
+    (f"<article><p>{WORDS}</p><figure><img src=x><figcaption>What is seen here.</figcaption></figure><p>{WORDS}</p></article>", [TEXT, "What is seen here.", TEXT]),
+])
+def test_layouts(model, page, expected):
+    assert hx.main_texts([f"<!DOCTYPE html><html><body>{page}</body></html>"], model) == [" ".join(expected)]
+
+
 def test_stray_quotes(model):
     pages = [
         "<article><a href=/it's>link</a><p>One, two.</p><p>We don't know.</p></article>",
