@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from subtide.llm.scratch import store
 from subtide.operators.joins import hash_join
 
-LINES, FIRST_LINES = 128, 32
+LINES, FIRST_LINES = 64, 16
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
 FIRST_RADIUS, FIRST_VERIFIED = 0.6, 200
 REACH = 1.75  # half a window in units of the radius
@@ -50,7 +50,7 @@ class Block:
             places = lifted @ lines(vectors.shape[1]).T
             order = np.argsort(places, axis=0, kind="stable").T.astype(np.int32)
             places = np.take_along_axis(places.T, order, axis=1)
-        self.order, self.places = order, places
+        self.order, self.places = order.astype(np.intp), places
         self.longest = np.sqrt((self.vectors**2).sum(axis=1)).max()
 
     def misses(self, on_lines: np.ndarray, radius: float) -> np.ndarray:
@@ -70,6 +70,9 @@ class Block:
 
         def best(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             scores = self.vectors[rows] @ query
+            if len(rows) > 4 * k:  # only those that reach the k-th score need sorting
+                high = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                rows, scores = rows[high], scores[high]
             first = np.lexsort((self.ids[rows], -scores))[:k]
             return rows[first], scores[first]
 
@@ -83,8 +86,9 @@ class Block:
         # the k-th distance is at most this: windows are expanded to it
         radius = sqrt(max(0.0, 2 - 2 * scores[-1] / (length * self.longest))) if len(scores) == k else 2.0
         missed = self.misses(at, max(radius, 1e-6))
-        close = np.flatnonzero(missed <= allowed_misses(LINES))
-        rows, scores = best(np.union1d(close, rows))
+        close = missed <= allowed_misses(LINES)
+        close[rows] = True
+        rows, scores = best(np.flatnonzero(close))
         return self.ids[rows], scores
 
 
