@@ -76,7 +76,7 @@ LINKS = "<ul><li><a href=a>One</a><li><a href=b>Two</a></ul>"
     # gold texts written by hand, not by the generator of labelled pages
     (f"<nav>{LINKS}</nav><article><p>{WORDS}</p><div><p>{WORDS}</p></div><p>{WORDS}</p></article>", [TEXT] * 3),
     (f"<table><tr><td>{LINKS}</td><td><h1>The title</h1><p>{WORDS}</p><p>{WORDS}</p></td></tr></table>", ["The title", TEXT, TEXT]),
-    (f"<div class=row><div class=col>{LINKS}</div><div class=col><p>{WORDS}</p><p>{WORDS}</p><p>{WORDS}</p></div></div>", [TEXT] * 3),
+    (f"<div class=row><div class=col>{LINKS}</div><div class=col>{f'<p>{WORDS}</p>' * 4}</div></div>", [TEXT] * 4),
     (f"<header><h1>The title</h1></header><article><p>{WORDS}</p><p>{WORDS}</p></article><footer>&copy; me</footer>", ["The title", TEXT, TEXT]),
     (f"<article><header><h1>The title</h1></header><p>{WORDS}</p></article><footer>&copy; me</footer>", ["The title", TEXT]),
     (f"<div class=content><div>{WORDS}</div><div>{WORDS}</div><ul><li>{WORDS}<li>item</ul></div>", [TEXT, TEXT, TEXT, "item"]),
