@@ -134,8 +134,9 @@ def _phrases(name: str, items: list[tuple[str, str]], window: int) -> Phrases:
 
 
 def _groups(benchmark: DataFrame, item: str, text: str):
-    """The items in groups of bounded size, each for a broadcast."""
-    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    """The items in groups of bounded size, each for a broadcast; repeated rows count once,
+    so that no group is all of one of them."""
+    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text") + 50)).first()[0] or 0
     groups = -(-total // GROUP_BYTES)
     for g in range(groups):

@@ -221,7 +221,8 @@ def mixed(shares: list[np.ndarray], buckets: list[np.ndarray], weights: np.ndarr
 
 def learn_weights(shares: list[np.ndarray], buckets: list[np.ndarray], times: np.ndarray, uniform: float, rounds: int = 100) -> np.ndarray:
     """weights[level, bucket] by EM over held-out events; half an event of either kind is
-    added to each. Bucket 0 of a context is unknown: there the shorter one decides."""
+    added to each. Bucket 0 of a context is unknown: there the shorter one decides. A bucket
+    without an event, as the final counts may reach, has the weight of the nearest with one."""
     weights = np.full((len(shares), BUCKETS), 0.5)
     weights[1:, 0] = 0
     for _ in range(rounds):
@@ -239,6 +240,11 @@ def learn_weights(shares: list[np.ndarray], buckets: list[np.ndarray], times: np
         weights = new
         if done:
             break
+    for level, bucket in enumerate(buckets):
+        learned = np.flatnonzero(np.bincount(bucket, times, BUCKETS)[level > 0:]) + (level > 0)
+        if len(learned):
+            away = np.abs(np.arange(level > 0, BUCKETS)[:, None] - learned)
+            weights[level, level > 0:] = weights[level, learned[away.argmin(axis=1)]]
     return weights
 
 

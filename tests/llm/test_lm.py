@@ -81,3 +81,14 @@ def test_em_finds_the_mixture():
     weights = lm.learn_weights([share], [np.zeros(2, dtype=np.int64)], times, 0.01)
     likelihood = lambda w: (times * np.log(w * share + (1 - w) * 0.01)).sum()
     assert likelihood(weights[0, 0]) >= max(likelihood(w) for w in rng.random(200)) - 0.1
+
+
+def test_buckets_without_events_have_the_nearest_weight():
+    rng = np.random.default_rng(4)
+    buckets = rng.choice([0, 3, 4, 9], 400)
+    share = rng.uniform(0, 1, 400) * (buckets > 0)
+    level0 = np.full(400, 0.1), np.zeros(400, dtype=np.int64)
+    weights = lm.learn_weights([level0[0], share], [level0[1], buckets], np.ones(400, dtype=np.int64), 0.01)
+    assert weights[1, 0] == 0
+    assert (weights[1, 1:4] == weights[1, 3]).all() and (weights[1, 4:7] == weights[1, 4]).all() and (weights[1, 7:] == weights[1, 9]).all()
+    assert len(set(weights[1, [3, 4, 9]])) == 3 and 0.5 not in weights[1, [3, 4, 9]]
