@@ -12,7 +12,7 @@ import datetime as dt
 from dataclasses import replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.plans import marts, rollups
@@ -34,7 +34,7 @@ from subtide.sinks.writers import (
     write_table,
 )
 from subtide.sources.layers import existing_tables, read_layer, read_table, stored_counts
-from subtide.sources.raw_files import bronze_tables
+from subtide.sources.raw_files import bronze_tables, require_whole_arrays
 from subtide.sources.versions import Part, current_version, read_version, remove_unpublished
 
 LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
@@ -47,8 +47,19 @@ def build_bronze(
     spark: SparkSession, raw: str, base: str, ingested_at: str | dt.datetime | None = None,
     multiline: bool = False, layout: str = "array",
 ) -> None:
-    bronze = bronze_tables(spark, raw, ingested_at, multiline, layout)
-    run_together(partial(write_table, df, base, "bronze", name) for name, df in bronze.items())
+    """The raw extracts are read once, JSON arrays too: whether all are whole is seen while
+    they are written, and a table of broken ones is not published."""
+    watch = Observation() if layout == "array" else None
+    bronze = bronze_tables(spark, raw, ingested_at, multiline, layout, watch)
+    files = len(bronze["content_events"].inputFiles())
+
+    def whole() -> None:
+        require_whole_arrays(watch.get, files)
+
+    run_together(
+        partial(write_table, df, base, "bronze", name, check=whole if watch and name == "content_events" else None)
+        for name, df in bronze.items()
+    )
 
 
 def build_silver(spark: SparkSession, base: str) -> None:

@@ -44,10 +44,16 @@ def _only(df: DataFrame, columns: Sequence[str] | None) -> tuple[str, ...] | Non
     return tuple(columns) if columns and list(columns) != df.columns else None
 
 
-def write_table(df: DataFrame, base: str, layer: str, name: str, *by: str, columns: Sequence[str] | None = None) -> None:
-    """The table anew; of the columns written it shows those listed, or all."""
+def write_table(
+    df: DataFrame, base: str, layer: str, name: str, *by: str,
+    columns: Sequence[str] | None = None, check: Callable[[], None] | None = None,
+) -> None:
+    """The table anew; of the columns written it shows those listed, or all. ``check`` runs
+    once the files are there; if it raises, the table stays as it was."""
     path = new_folder(layer, name)
     counts = _write_files(df, base, path, {"rows": F.count(F.lit(1))}, *by)
+    if check is not None:
+        check()
     publish(df.sparkSession, base, layer, name, Version((Part(path),), counts["rows"], _stored(df.schema), columns=_only(df, columns)))
 
 

@@ -7,8 +7,9 @@ metadata.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +47,8 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: T.StructType, layout: str = "array", file_column: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, layout: str = "array", file_column: str | None = None,
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Flat JSON objects. ``layout`` says how they lie in the files:
 
@@ -67,8 +69,31 @@ def read_json_records(
     body = F.rtrim(F.col("piece"), F.lit(" \t\r\n],"))
     record = F.from_json(F.concat(F.lit("{"), body), schema, {"mode": "FAILFAST"})
     # Generated columns keep each object to one parse, whatever filters follow.
-    pieces = _pieces(spark, path).filter(~body.isin("", "["))
-    return pieces.select(F.inline(F.array(record)), *([F.col("file").alias(file_column)] if file_column else []))
+    pieces = _pieces(spark, path)
+    if watch is not None:
+        pieces = pieces.observe(watch, *[F.count_if(condition).alias(name) for name, condition in ARRAY_MARKS.items()])
+    return pieces.filter(~body.isin("", "[")).select(F.inline(F.array(record)), *([F.col("file").alias(file_column)] if file_column else []))
+
+
+#: What of a JSON array's text its pieces show: its start, its end, a start before records,
+#: records, and commas after them.
+ARRAY_MARKS: dict[str, Column] = {
+    "opened": F.col("piece").startswith("["),
+    "closed": F.col("piece").endswith("]"),
+    "filled": F.col("piece") == "[",
+    "records": ~F.rtrim(F.col("piece"), F.lit(" \t\r\n],")).isin("", "["),
+    "commas": F.col("piece").endswith(","),
+}
+
+
+def require_whole_arrays(seen: Mapping[str, int], files: int) -> None:
+    """Fails if what a read has observed of so many files is not that of whole arrays: one
+    was cut off, or a comma is missing between records. Files of one object per line have
+    no such marks; next to them commas are not counted."""
+    if seen["opened"] != seen["closed"]:
+        raise ValueError(f"JSON arrays without an end: {seen['opened']} begin and {seen['closed']} end")
+    if seen["opened"] == files and seen["records"] != seen["commas"] + seen["filled"]:
+        raise ValueError(f"JSON arrays with {seen['records']} records and {seen['commas']} commas between them")
 
 
 def require_closed_arrays(spark: SparkSession, path: str) -> None:
@@ -85,26 +110,29 @@ def require_closed_arrays(spark: SparkSession, path: str) -> None:
 
 
 def read_raw(
-    spark: SparkSession, folder: str, name: str, multiline: bool = False, layout: str = "array", file_column: str | None = None
+    spark: SparkSession, folder: str, name: str, multiline: bool = False, layout: str = "array", file_column: str | None = None,
+    watch: Observation | None = None,
 ) -> DataFrame:
-    """A raw extract; ``multiline`` is for CSV, ``layout`` for JSON."""
+    """A raw extract; ``multiline`` is for CSV, ``layout`` for JSON. JSON arrays are looked
+    through first for one without an end, or, with ``watch``, observed while they are read,
+    for ``require_whole_arrays``."""
     path = f"{folder.rstrip('/')}/{RAW_FILES[name]}"
     if not path.endswith(".json"):
         return read_csv(spark, path, RAW_SCHEMAS[name], multiline, file_column)
-    if layout == "array":
+    if layout == "array" and watch is None:
         require_closed_arrays(spark, path)
-    return read_json_records(spark, path, RAW_SCHEMAS[name], layout, file_column)
+    return read_json_records(spark, path, RAW_SCHEMAS[name], layout, file_column, watch)
 
 
 def bronze_tables(
     spark: SparkSession, folder: str, ingested_at: str | dt.datetime | None = None,
-    multiline: bool = False, layout: str = "array",
+    multiline: bool = False, layout: str = "array", watch: Observation | None = None,
 ) -> dict[str, DataFrame]:
     """All raw extracts as they are, with lineage columns: one time for all, and the file
-    that each row was read from."""
+    that each row was read from. ``watch`` as for ``read_raw``."""
     if ingested_at is None:
         ingested_at = spark.range(1).select(F.localtimestamp()).first()[0]
     return {
-        name: with_lineage(read_raw(spark, folder, name, multiline, layout, "_file"), F.col("_file"), ingested_at).drop("_file")
+        name: with_lineage(read_raw(spark, folder, name, multiline, layout, "_file", watch), F.col("_file"), ingested_at).drop("_file")
         for name in TABLES
     }

@@ -179,3 +179,36 @@ def test_a_run_goes_on_after_a_failure_in_the_middle(spark, extracts, tmp_path,
     assert medallion.count_layers(spark, base).collect() == before
     medallion.build_all(spark, "/nowhere", base, as_of="2024-02-15", start="gold")
     assert medallion.count_layers(spark, base).collect() == before
+
+
+def test_broken_arrays_are_noticed_in_the_one_read(spark, extracts, tmp_path):  # noqa: F811
+    from pathlib import Path
+    import json
+
+    base, path = str(tmp_path / "lake"), Path(extracts) / "content_events.json"
+    medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
+    before = read_table(spark, base, "bronze", "content_events").collect()
+    rows = [event(f"u{i}") for i in range(4)]
+    compact, indented = json.dumps(rows, separators=(",", ":")), json.dumps(rows, indent=1)
+    for broken in (compact[:-1], compact.replace("},", "}", 1), indented.replace("},", "}", 1), "[" + compact):
+        path.write_text(broken)
+        with pytest.raises(Exception, match="without an end|commas between|MALFORMED"):
+            medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
+        assert read_table(spark, base, "bronze", "content_events").collect() == before
+    for whole in (compact, indented, "[]", " [\n]\n", "\n".join(map(json.dumps, rows))):
+        path.write_text(whole)
+        medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
+        assert read_table(spark, base, "bronze", "content_events").count() == (4 if "{" in whole else 0)
+    path.unlink()
+    path.mkdir()
+    (path / "a.json").write_text(compact)
+    (path / "b.json").write_text("[]")
+    (path / "c.json").write_text(indented)
+    medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
+    assert read_table(spark, base, "bronze", "content_events").count() == 8
+    (path / "d.json").write_text("\n".join(map(json.dumps, rows)))
+    medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
+    assert read_table(spark, base, "bronze", "content_events").count() == 12
+    (path / "c.json").write_text(indented[:-2])
+    with pytest.raises(ValueError, match="3 begin and 2 end"):
+        medallion.build_bronze(spark, extracts, base, "2024-02-15 06:00:00")
