@@ -71,19 +71,21 @@ def read_json_records(
     # Generated columns keep each object to one parse, whatever filters follow.
     pieces = _pieces(spark, path)
     if watch is not None:
-        pieces = pieces.observe(watch, *[F.count_if(condition).alias(name) for name, condition in ARRAY_MARKS.items()])
+        pieces = pieces.observe(watch, *[F.count_if(condition).alias(name) for name, condition in _array_marks().items()])
     return pieces.filter(~body.isin("", "[")).select(F.inline(F.array(record)), *([F.col("file").alias(file_column)] if file_column else []))
 
 
-#: What of a JSON array's text its pieces show: its start, its end, a start before records,
-#: records, and commas after them.
-ARRAY_MARKS: dict[str, Column] = {
-    "opened": F.col("piece").startswith("["),
-    "closed": F.col("piece").endswith("]"),
-    "filled": F.col("piece") == "[",
-    "records": ~F.rtrim(F.col("piece"), F.lit(" \t\r\n],")).isin("", "["),
-    "commas": F.col("piece").endswith(","),
-}
+def _array_marks() -> dict[str, Column]:
+    """What of a JSON array's text a piece shows: its start, its end, a start before records,
+    a record, and a comma after it."""
+    piece = F.col("piece")
+    return {
+        "opened": piece.startswith("["),
+        "closed": piece.endswith("]"),
+        "filled": piece == "[",
+        "records": ~F.rtrim(piece, F.lit(" \t\r\n],")).isin("", "["),
+        "commas": piece.endswith(","),
+    }
 
 
 def require_whole_arrays(seen: Mapping[str, int], files: int) -> None:

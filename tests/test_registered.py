@@ -1,6 +1,8 @@
 """Every registered query against DuckDB on the same tables."""
 
 import os
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -45,3 +47,8 @@ def test_entry(spark):
     rows = entry(spark).collect()
     assert [r.week_start for r in rows] == sorted(r.week_start for r in rows)
     assert rows
+
+
+def test_the_entry_is_imported_before_a_session_exists():
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.queries()) >= set(e.oracle_sql())"], cwd=Path(__file__).parents[1], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
