@@ -149,8 +149,9 @@ def find_passages(
     item: str = "item_id", item_text: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """doc_id, n_words, spans (of word numbers, merged), items (ids as strings, sorted) for
-    each row of docs; nothing is shuffled. A null text has no words; an item without words,
-    or a null one, has no window."""
+    each row of docs; no document is shuffled. A null or empty text has no words; an item
+    without words, or a null one, has no window; texts of any length are searched whole. An
+    empty table of docs gives no row, one of items no hit."""
     kind = dict(docs.dtypes)[key]
     spans_type, empty = "array<struct<a:int,b:int>>", "array<string>"
     found = docs.select(
@@ -226,8 +227,9 @@ def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) ->
 
 def remove_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """docs with its columns, benchmark passages cut out of the texts until no window is
-    left; a text that was cut and holds no word any more goes with its row. The number of
-    groups of items changes no result."""
+    left; a text that was cut and holds no word any more goes with its row. Null, empty and
+    wordless texts stay as they are. The number of groups of items changes no result; an
+    empty table of items cuts nothing, one of docs gives no row."""
     groups = list(_groups(benchmark, item, item_text))
     if len(groups) > 1:
         return _remove_in_rounds(docs, groups, text, window)

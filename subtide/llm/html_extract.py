@@ -311,7 +311,8 @@ def main_texts(pages: list[str | None], model: Model) -> list[str]:
 
 def extract(pages: DataFrame, model: Model | None = None, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars for each row of pages; nothing is shuffled. A null or empty
-    page, or one without content, has an empty text."""
+    page, or one without content, has an empty text; pages of any length are read whole, in
+    time proportional to it; an empty table gives no row."""
     shared = pages.sparkSession.sparkContext.broadcast(model or train())  # a weight for each feature of the labelled pages
     kinds = dict(pages.dtypes)
 

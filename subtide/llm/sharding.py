@@ -43,7 +43,8 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     text is that of the empty one, 0. A null key is a key like any other. Rows with equal
     keys, also repeated rows, share a shard and get slots of their own. No text is
     shuffled and no shard is gathered: each partition numbers its own rows of a shard,
-    and the counts of the partitions before it are added.
+    and the counts of the partitions before it are added. Very long texts are hashed
+    whole; an empty table gives no row.
     """
     content = F.coalesce(F.col(text), F.lit(""))
     narrow = docs.select(

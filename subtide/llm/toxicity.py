@@ -312,7 +312,9 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str =
 
 
 def keep_clean(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of docs, with their columns, whose score is below the threshold."""
+    """The rows of docs, with their columns, whose score is below the threshold. Null, empty
+    and blank texts have the least margin and stay; without a model all rows do; repeated
+    rows are each judged; very long texts are read whole; an empty table gives no row."""
     if model is None:
         return docs
     shared, scorers = docs.sparkSession.sparkContext.broadcast(model), {}
