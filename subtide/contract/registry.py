@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from subtide.operators.rows import duplicate_keys, row_counts, stack, with_linea
 from subtide.plans import marts, quality, rollups, silver
 from subtide.plans.staging import stage, staging_tables
 from subtide.schemas import EVENT_KEY, RAW_FILES, TABLES
+from subtide.sinks.writers import write_buckets
+from subtide.sources.layers import read_table
 from subtide.sources.star_schema import AS_OF, INGESTED_AT, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +91,17 @@ def _active_users(events: DataFrame) -> DataFrame:
     return rollups.active_users(rollups.week_users(events, rollups.user_numbers(events)))
 
 
+def _failed_from_buckets(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Both rollups stored in buckets, in the folder that all executors share, and joined there."""
+    spark = payments.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = f"{shared.rstrip('/')}/subtide-{uuid.uuid4().hex}"
+    made = {"failed": marts.failed_by_subscription(payments), "owners": rollups.subscription_owners(subscriptions)}
+    for name, df in made.items():
+        write_buckets(df, base, "rollups", name, "subscription_id", 8)
+    return rollups.failed_by_user(*(read_table(spark, base, "rollups", name) for name in made))
+
+
 def _bronze(name: str) -> Query:
     return _raw(name, lambda df: with_lineage(df, RAW_FILES[name], INGESTED_AT))
 
@@ -110,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "weekly_renewals": _staged(marts.weekly_renewals, "subscriptions"),
     "last_activity": _staged(marts.last_activity, "content_events"),
     "failed_payments_by_user": _staged(marts.failed_payments_by_user, "payments", "subscriptions"),
+    "failed_payments_from_buckets": _staged(_failed_from_buckets, "payments", "subscriptions"),
     "cancelled_users": _staged(marts.cancelled_users, "subscriptions"),
     "support_cases_by_user": _staged(marts.support_cases_by_user, "support_cases"),
     "mart_trial_conversion": _staged(marts.mart_trial_conversion, "subscriptions"),

@@ -155,16 +155,19 @@ def last_activity(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.max("event_ts").alias("last_event_ts"))
 
 
-def _failed_per_owner(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Failed payments counted per subscription before they meet its owner."""
-    failed = (
+def failed_by_subscription(payments: DataFrame) -> DataFrame:
+    return (
         payments.filter(F.col("payment_status") == "failed")
         .groupBy("subscription_id")
         .agg(F.count("*").alias("failed"))
     )
+
+
+def _failed_per_owner(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Failed payments counted per subscription before they meet its owner."""
     # One row per subscription on both sides: there is no hot key, and the plain join keeps
     # the count's shuffle.
-    return subscriptions.select("subscription_id", "user_id").join(failed, "subscription_id")
+    return subscriptions.select("subscription_id", "user_id").join(failed_by_subscription(payments), "subscription_id")
 
 
 def failed_payments_by_user(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -188,14 +191,18 @@ def support_cases_by_user(support_cases: DataFrame) -> DataFrame:
 
 
 def user_signals(
-    events: DataFrame, payments: DataFrame, subscriptions: DataFrame, support_cases: DataFrame
+    events: DataFrame, payments: DataFrame, subscriptions: DataFrame, support_cases: DataFrame,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
     """The four churn signals of each user, from one aggregation over all sources.
 
     Every source contributes rows of one narrow shape, so all four signals share
     one partial aggregation and one shuffle, where a join per signal would sort
-    and merge four aggregates.
+    and merge four aggregates. With ``failed``, rows of (user_id, failed), no payment is read.
     """
+    if failed is None:
+        failed = _failed_per_owner(payments, subscriptions)
+
     def marks(df: DataFrame, **signal) -> DataFrame:
         empty = {
             "event_ts": F.lit(None).cast(NTZ),
@@ -207,7 +214,7 @@ def user_signals(
 
     sources = [
         marks(events, event_ts=F.col("event_ts")),
-        marks(_failed_per_owner(payments, subscriptions), failed=F.col("failed")),
+        marks(failed, failed=F.col("failed")),
         marks(_cancelled(subscriptions), cancelled=F.lit(True)),
         marks(support_cases, cases=F.lit(1)),
     ]
@@ -226,14 +233,16 @@ def mart_churn_risk(
     subscriptions: DataFrame,
     support_cases: DataFrame,
     as_of: str | dt.date | None = None,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user, scored as of a date (today if none is given).
 
     The score counts four signals and is capped at 3; the label follows the
-    uncapped count. Users without events are 999 days inactive.
+    uncapped count. Users without events are 999 days inactive. ``failed`` takes the place
+    of the payments, where they have been counted before (see ``rollups``).
     """
     inactive = days_between(F.to_date("last_event_ts"), date_or_today(as_of))
-    signals = user_signals(events, payments, subscriptions, support_cases)
+    signals = user_signals(events, payments, subscriptions, support_cases, failed)
     scored = (
         users.select("user_id", "country", "channel").join(signals, "user_id", "left")
         .select(
@@ -291,14 +300,16 @@ def mart_weekly_metrics(events: DataFrame, subscriptions: DataFrame) -> DataFram
     )
 
 
-def mart_tables(staged: Mapping[str, DataFrame], as_of: str | dt.date | None = None) -> dict[str, DataFrame]:
+def mart_tables(
+    staged: Mapping[str, DataFrame], as_of: str | dt.date | None = None, failed: DataFrame | None = None
+) -> dict[str, DataFrame]:
     events, subscriptions, payments = staged["content_events"], staged["subscriptions"], staged["payments"]
     return {
         "mart_trial_conversion": mart_trial_conversion(subscriptions),
         "mart_retention": mart_retention(events, subscriptions, staged["plans"]),
         "mart_payment_failures": mart_payment_failures(payments),
         "mart_churn_risk": mart_churn_risk(
-            staged["users"], events, payments, subscriptions, staged["support_cases"], as_of
+            staged["users"], events, payments, subscriptions, staged["support_cases"], as_of, failed
         ),
         "mart_weekly_metrics": mart_weekly_metrics(events, subscriptions),
     }

@@ -29,6 +29,7 @@ from subtide.sinks.writers import (
     export_csv,
     replace_partitions,
     run_together,
+    write_buckets,
     write_checked,
     write_events,
     write_table,
@@ -41,6 +42,9 @@ LAYERS = {"bronze": TABLES, "silver": TABLES, "gold": MARTS}
 #: Valid events before deduplication; every other silver table is valid rows alone.
 VALID = "valid"
 ROLLUPS = "rollups"
+FAILED, OWNERS = "failed_by_subscription", "subscription_owners"
+#: Subscriptions of a bucket; some 40 bytes each in either rollup.
+BUCKET_ROWS = 4_000_000
 
 
 def build_bronze(
@@ -92,7 +96,7 @@ def _by_month(retention: DataFrame) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, base: str, as_of: str | dt.date | None = None) -> None:
-    built = mart_tables(staging_tables(silver_layer(spark, base)), as_of)
+    built = mart_tables(staging_tables(silver_layer(spark, base)), as_of, stored_failures(spark, base))
     retention = built.pop("mart_retention")
     run_together([
         partial(write_table, _by_month(retention), base, "gold", "mart_retention", "month", columns=retention.columns),
@@ -142,7 +146,7 @@ def add_events(spark: SparkSession, base: str, bronze_events: DataFrame, as_of:
         tables["subscriptions"],
     )
     other_weeks = read_table(spark, base, "gold", "mart_weekly_metrics").filter(~F.to_date("week_start").isin(mondays))
-    churn = mart_tables(tables, as_of)["mart_churn_risk"]
+    churn = mart_tables(tables, as_of, stored_failures(spark, base))["mart_churn_risk"]
     run_together([
         partial(replace_partitions, _by_month(retention), base, "gold", "mart_retention", "month", [str(m) for m in months]),
         partial(write_table, weekly.unionByName(other_weeks).orderBy("week_start"), base, "gold", "mart_weekly_metrics"),
@@ -193,6 +197,39 @@ def count_active_users(spark: SparkSession, base: str, span: int = rollups.SPAN_
     return rollups.active_users(read_table(spark, base, ROLLUPS, "week_users"), span)
 
 
+def _origin(spark: SparkSession, base: str) -> tuple[str, ...]:
+    """The files that payments and subscriptions consist of now."""
+    versions = [current_version(spark, base, "silver", name) for name in ("payments", "subscriptions")]
+    return tuple(part.path for version in versions if version for part in version.parts)
+
+
+def build_failed_counts(spark: SparkSession, base: str) -> None:
+    """Failed payments of each subscription and its owners, both in buckets by subscription.
+    However many payments a subscription has, it is one row, so no bucket is hot. Their
+    number follows the subscriptions, as counted when they were written."""
+    origin = _origin(spark, base)
+    subscriptions = current_version(spark, base, "silver", "subscriptions").rows
+    buckets = max(1, -(-subscriptions // BUCKET_ROWS))
+    tables = staging_tables(silver_layer(spark, base))
+    made = {
+        FAILED: marts.failed_by_subscription(tables["payments"].filter(F.col("subscription_id").isNotNull())),
+        OWNERS: rollups.subscription_owners(tables["subscriptions"]),
+    }
+    run_together(
+        partial(write_buckets, df, base, ROLLUPS, name, "subscription_id", buckets, origin) for name, df in made.items()
+    )
+
+
+def stored_failures(spark: SparkSession, base: str) -> DataFrame | None:
+    """(user_id, failed) from the rollups: no payment is read, and nothing shuffled. None if
+    they were not built, or payments or subscriptions were written again after them."""
+    versions = {name: current_version(spark, base, ROLLUPS, name) for name in (FAILED, OWNERS)}
+    origin = _origin(spark, base)
+    if not all(version and version.origin == origin for version in versions.values()):
+        return None
+    return rollups.failed_of_owners(*(read_version(spark, base, versions[name]) for name in (FAILED, OWNERS)))
+
+
 def export_layers(spark: SparkSession, base: str, folder: str) -> None:
     folder = folder.rstrip("/")
     silver = silver_layer(spark, base)
@@ -239,7 +276,7 @@ def check_layers(spark: SparkSession, base: str) -> DataFrame:
 
 def remove_unfinished(spark: SparkSession, base: str, older_than_hours: float = 24) -> list[str]:
     """Deletes what writes that failed have left, and returns the folders."""
-    layers = {**LAYERS, VALID: ("content_events",), REJECTS: TABLES, "checked": TABLES, ROLLUPS: ("user_numbers", "week_users")}
+    layers = {**LAYERS, VALID: ("content_events",), REJECTS: TABLES, "checked": TABLES, ROLLUPS: ("user_numbers", "week_users", FAILED, OWNERS)}
     return [
         folder for layer, names in layers.items() for name in names
         for folder in remove_unpublished(spark, base, layer, name, older_than_hours)

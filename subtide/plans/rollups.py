@@ -1,5 +1,6 @@
 """Rollups: weekly users as bitmaps, so that users of several weeks are counted without
-the events."""
+the events; failed payments and owners by subscription, so that they meet without a
+shuffle once both are stored in buckets."""
 
 from __future__ import annotations
 
@@ -37,3 +38,19 @@ def active_users(weeks: DataFrame, span: int = SPAN_WEEKS) -> DataFrame:
     ahead = F.array(*[(F.col("week_start") + F.make_dt_interval(F.lit(7 * n))).cast(NTZ) for n in range(span)])
     reaching = weeks.select(F.explode(ahead).alias("week_start"), "part", "bitmap")
     return own.join(count_union(reaching, "week_start", out="span_active_users"), "week_start")
+
+
+def subscription_owners(subscriptions: DataFrame) -> DataFrame:
+    """(subscription_id, user_id, times): who holds each subscription, in how many rows."""
+    held = subscriptions.filter(F.col("subscription_id").isNotNull())
+    return held.groupBy("subscription_id", "user_id").agg(F.count("*").alias("times"))
+
+
+def failed_of_owners(failed: DataFrame, owners: DataFrame) -> DataFrame:
+    """(user_id, failed) for each subscription with a failed payment, from the two rollups; a
+    user with several has several rows."""
+    return owners.join(failed, "subscription_id").select("user_id", (F.col("failed") * F.col("times")).alias("failed"))
+
+
+def failed_by_user(failed: DataFrame, owners: DataFrame) -> DataFrame:
+    return failed_of_owners(failed, owners).groupBy("user_id").agg(F.sum("failed").alias("failed_payment_count"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtide.sources.versions import Part, Version, current_version, new_folder, partitions_of, publish, read_version
+from subtide.sources.versions import Part, Version, catalog_name, current_version, new_folder, partitions_of, publish, read_version
 
 EVENT_DATE = "event_date"
 REJECTS = "rejects"
@@ -57,6 +57,21 @@ def write_table(
     publish(df.sparkSession, base, layer, name, Version((Part(path),), counts["rows"], _stored(df.schema), columns=_only(df, columns)))
 
 
+def write_buckets(df: DataFrame, base: str, layer: str, name: str, key: str, buckets: int, origin: Sequence[str] = ()) -> None:
+    """The table anew, its rows dealt by the hash of ``key`` to so many files, each written by
+    one task. Tables with equal buckets are joined and grouped by the key without a shuffle;
+    nothing can split a bucket, so a key should have few rows."""
+    spark, path, table = df.sparkSession, new_folder(layer, name), catalog_name()
+    seen = Observation()
+    dealt = df.repartition(buckets, key).observe(seen, F.count(F.lit(1)).alias("rows"))
+    try:
+        dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", f"{base.rstrip('/')}/{path}").saveAsTable(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay
+    version = Version((Part(path),), seen.get.get("rows", 0), _stored(df.schema), buckets=(key, buckets), origin=tuple(origin))
+    publish(spark, base, layer, name, version)
+
+
 def append_table(df: DataFrame, base: str, layer: str, name: str) -> None:
     """Adds the rows to a table; its files stay."""
     spark = df.sparkSession

@@ -41,18 +41,23 @@ class Part:
 @dataclass(frozen=True)
 class Version:
     """Parts of one or more writes, with their columns. Of them the table has the rows for
-    which ``where`` holds, ``rows`` of them, and the listed columns."""
+    which ``where`` holds, ``rows`` of them, and the listed columns. ``buckets`` is the column
+    whose hash says in which of how many files a row lies; ``origin`` the parts of the tables
+    that the rows were made from."""
 
     parts: tuple[Part, ...]
     rows: int
     schema: T.StructType
     where: str | None = None
     columns: tuple[str, ...] | None = None
+    buckets: tuple[str, int] | None = None
+    origin: tuple[str, ...] = ()
 
     def to_json(self) -> str:
         return json.dumps({
             "parts": [[p.path, p.partitions] for p in self.parts], "rows": self.rows,
             "schema": self.schema.jsonValue(), "where": self.where, "columns": self.columns,
+            "buckets": self.buckets, "origin": self.origin,
         })
 
     @staticmethod
@@ -60,7 +65,11 @@ class Version:
         held = json.loads(text)
         parts = tuple(Part(path, some if some is None else tuple(some)) for path, some in held["parts"])
         columns = held["columns"] and tuple(held["columns"])
-        return Version(parts, held["rows"], T.StructType.fromJson(held["schema"]), held["where"], columns)
+        buckets = tuple(held["buckets"]) if held.get("buckets") else None
+        return Version(
+            parts, held["rows"], T.StructType.fromJson(held["schema"]), held["where"], columns,
+            buckets, tuple(held.get("origin", ())),
+        )
 
 
 def table_path(base: str, layer: str, name: str) -> str:
@@ -153,8 +162,28 @@ def publish(spark: SparkSession, base: str, layer: str, name: str, version: Vers
                 files.delete(f"{base.rstrip('/')}/{path}")
 
 
+def catalog_name() -> str:
+    """A name in the catalog for the moment in which bucketed files are written or opened."""
+    return f"spark_catalog.default.subtide_{uuid.uuid4().hex}"
+
+
+def _read_buckets(spark: SparkSession, folder: str, version: Version) -> DataFrame:
+    """Only a table of the catalog can say that its files are bucketed. The DataFrame keeps
+    that, so the table, which does not own the files, goes at once."""
+    name, (key, n) = catalog_name(), version.buckets
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in version.schema)
+    quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{quoted}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def read_version(spark: SparkSession, base: str, version: Version) -> DataFrame:
     base = base.rstrip("/")
+    if version.buckets:
+        return _read_buckets(spark, f"{base}/{version.parts[0].path}", version)
 
     def read(part: Part) -> DataFrame:
         reader = spark.read.schema(version.schema)
