@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -24,9 +24,12 @@ from subtide.llm.scratch import free_name, store
 
 WINDOW = 10
 SHARD_BYTES = 16 << 20
-#: Items are searched in groups of about so many bytes of text; a group is what a worker
-#: holds.
-GROUP_BYTES = 32 << 20
+#: Items over so many bytes are searched in groups of about that size, one after another; a
+#: group is what the driver and a worker hold.
+GROUP_BYTES = 16 << 20
+#: Longer items are taken in stretches, so that no group is much larger than the others.
+STRETCH_BYTES = 256 << 10
+SPANS = "array<struct<a:int,b:int>>"
 #: A-Z in lower case; every other character up to 7F but digits and a-z parts words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -39,22 +42,33 @@ def words_of(text: str | None) -> list[bytes]:
 class Phrases:
     """The distinct windows of some items."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: Sequence[tuple[str, str]], window: int = WINDOW):
         self.symbol: dict[bytes, int] = {}
-        owners: dict[tuple, set[str]] = {}
-        for item, text in items:
-            symbols = [self.symbol.setdefault(w, len(self.symbol) + 2) for w in words_of(text)]
-            for a in range(max(1, len(symbols) - window + 1) if symbols else 0):
-                owners.setdefault(tuple(symbols[a: a + window]), set()).add(item)
-        self.lengths = np.array([len(p) for p in owners], dtype=np.int64)
-        self.phrases = np.zeros((len(owners), window), dtype=np.int64)
-        for row, phrase in zip(self.phrases, owners):
-            row[window - len(phrase):] = phrase
-        self.items = sorted({i for o in owners.values() for i in o})
+        symbols = [np.array([self.symbol.setdefault(w, len(self.symbol) + 2) for w in words_of(t)], dtype=np.int64) for _, t in items]
+        sizes = np.array([len(x) for x in symbols], dtype=np.int64)
+        every = np.concatenate([np.zeros(window, dtype=np.int64), *symbols])
+        del symbols
+        ends = np.cumsum(sizes) + window
+        windows = np.where(sizes > 0, np.maximum(1, sizes - window + 1), 0)
+        owner = np.repeat(np.arange(len(items)), windows)
+        # a window ends here; of an item shorter than a window nothing before its start counts
+        last = spans_of(ends - windows, windows)
+        phrases = every[last[:, None] + np.arange(1 - window, 1)]
+        phrases[np.arange(window) < (window - np.minimum(sizes, window))[owner][:, None]] = 0
+        self.items = sorted({items[k][0] for k in np.unique(owner).tolist()})
         number = {item: k for k, item in enumerate(self.items)}
-        self.item_counts = np.array([len(o) for o in owners.values()], dtype=np.int64)
-        self.item_starts = np.cumsum(self.item_counts) - self.item_counts
-        self.item_of = np.array([number[i] for o in owners.values() for i in sorted(o)], dtype=np.int64)
+        owner = np.array([number.get(item, -1) for item, _ in items], dtype=np.int64)[owner]
+        # equal phrases stand together, and of each its items ascend
+        order = np.lexsort((owner, *phrases.T))
+        phrases, owner = phrases[order], owner[order]
+        fresh = np.ones(len(phrases), dtype=bool)
+        fresh[1:] = (phrases[1:] != phrases[:-1]).any(axis=1)
+        kept = fresh.copy()
+        kept[1:] |= owner[1:] != owner[:-1]
+        self.phrases, self.item_of = phrases[fresh], owner[kept]
+        self.item_starts = np.flatnonzero(fresh[kept])
+        self.item_counts = np.diff(self.item_starts, append=len(self.item_of))
+        self.lengths = (self.phrases > 0).sum(axis=1)
         self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
 
     def search(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
@@ -133,15 +147,88 @@ def _phrases(name: str, items: list[tuple[str, str]], window: int) -> Phrases:
     return _known[name]
 
 
-def _groups(benchmark: DataFrame, item: str, text: str):
-    """The items in groups of bounded size, each for a broadcast; repeated rows count once,
-    so that no group is all of one of them."""
+def _distinct_items(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
+    """(item, text, size), repeated rows once. A long text is taken in stretches that share
+    all but one word of a window, so that together they have its windows."""
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            for one, words in zip(batch.column("item").to_pylist(), map(words_of, batch.column("text").to_pylist())):
+                starts, held = [0], 0
+                for i, word in enumerate(words):
+                    held += len(word) + 1
+                    if held > STRETCH_BYTES and i - starts[-1] >= window:
+                        starts.append(i)
+                        held = 0
+                cut = [b" ".join(words[a: b + window - 1]).decode() for a, b in zip(starts, [*starts[1:], len(words)])]
+                # a last stretch shorter than a window would be a window of its own
+                if len(cut) > 1 and len(words) - starts[-1] < window:
+                    cut[-2:] = [b" ".join(words[starts[-2]:]).decode()]
+                yield pa.RecordBatch.from_arrays([pa.array([one] * len(cut), pa.string()), pa.array(cut, pa.string())], names=["item", "text"])
+
     items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text")).filter("text IS NOT NULL").distinct()
-    total = items.agg(F.sum(F.octet_length("text") + 50)).first()[0] or 0
-    groups = -(-total // GROUP_BYTES)
-    for g in range(groups):
-        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g) if groups > 1 else items
-        yield uuid.uuid4().hex, benchmark.sparkSession.sparkContext.broadcast([tuple(r) for r in part.collect()])
+    long = F.octet_length("text") > STRETCH_BYTES
+    pieces = items.filter(~long).unionByName(items.filter(long).mapInArrow(stretches, "item string, text string"))
+    return pieces.withColumn("size", F.octet_length("text").cast("long") + 50)
+
+
+class _Items:
+    """The benchmark's items: at once if they are few, else stored in groups, of which the
+    driver and a worker hold one at a time."""
+
+    def __init__(self, benchmark: DataFrame, item: str, text: str, window: int):
+        self.spark, self.window = benchmark.sparkSession, window
+        pieces = _distinct_items(benchmark, item, text, window)
+        total = pieces.agg(F.sum("size")).first()[0] or 0
+        self.pieces, self.groups = pieces, max(1, -(-total // GROUP_BYTES))
+        if self.groups == 1:
+            return
+        pieces = store(pieces, "items")
+
+        def dealt() -> DataFrame:
+            return pieces.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(self.groups)).cast("int"))
+
+        largest = F.max("size")
+        while self.groups < total and dealt().groupBy("group").agg(F.sum("size").alias("size")).agg(largest).first()[0] > 2 * max(GROUP_BYTES, STRETCH_BYTES):
+            self.groups *= 2
+        self.pieces = store(dealt().repartition("group"), "item-groups", "group")
+
+    def shared(self, group: int = 0):
+        """A broadcast of one group: a name and its items. Its size has been checked."""
+        rows = self.pieces if self.groups == 1 else self.pieces.filter(F.col("group") == group)
+        return self.spark.sparkContext.broadcast((uuid.uuid4().hex, [tuple(r) for r in rows.select("item", "text").collect()]))
+
+    def search(self, numbered: DataFrame, row: str, text: str) -> DataFrame:
+        """(row, spans, items) of the stored rows with hits, one for each group that has any.
+        Each group is searched in a job of its own, and let go after it."""
+        window, names = self.window, ["row", "spans", "items"]
+        hits = []
+        for group in range(self.groups):
+            items = self.shared(group)
+
+            def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+                phrases = _phrases(*items.value, window)
+                for batch in text_slices(batches, "text", SHARD_BYTES):
+                    _, spans, owned = phrases.search(batch.column("text").to_pylist())
+                    hit = [i for i, found in enumerate(spans) if found]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("row").take(pa.array(hit, pa.int64())), _arrow_spans([spans[i] for i in hit]),
+                        pa.array([owned[i] for i in hit], pa.list_(pa.string())),
+                    ], names=names)
+
+            found = numbered.select(F.col(row).alias("row"), F.col(text).alias("text")).mapInArrow(search, f"row long, spans {SPANS}, items array<string>")
+            try:
+                hits.append(store(found, "hits"))
+            finally:
+                items.destroy()
+        return reduce(DataFrame.unionByName, hits)
+
+
+def _arrow_spans(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+
+
+def _merged(found: list[dict] | None) -> list[tuple[int, int]]:
+    return merge_spans([(x["a"], x["b"]) for x in found or []])
 
 
 def find_passages(
@@ -151,44 +238,54 @@ def find_passages(
     """doc_id, n_words, spans (of word numbers, merged), items (ids as strings, sorted) for
     each row of docs; no document is shuffled. A null or empty text has no words; an item
     without words, or a null one, has no window; texts of any length are searched whole. An
-    empty table of docs gives no row, one of items no hit."""
+    empty table of docs gives no row, one of items no hit. Items of over ``GROUP_BYTES`` are
+    searched in groups, each in a pass over the documents; their number changes no result."""
     kind = dict(docs.dtypes)[key]
-    spans_type, empty = "array<struct<a:int,b:int>>", "array<string>"
-    found = docs.select(
-        F.col(key).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(spans_type).alias("spans"), F.array().cast(empty).alias("items"),
-    )
-    groups = list(_groups(benchmark, item, item_text)) or [("", docs.sparkSession.sparkContext.broadcast([]))]
-    arrow_spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-    for name, items in groups:
-        def search(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
-            phrases = _phrases(name, items.value, window)
+    items = _Items(benchmark, item, item_text, window)
+    narrow = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    names = ["doc_id", "n_words", "spans", "items"]
+    schema = f"doc_id {kind}, n_words long, spans {SPANS}, items array<string>"
+    if items.groups == 1:
+        shared = items.shared()
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = _phrases(*shared.value, window)
             for batch in text_slices(batches, "text", SHARD_BYTES):
                 n_words, spans, owned = phrases.search(batch.column("text").to_pylist())
-                earlier = [[(x["a"], x["b"]) for x in s] for s in batch.column("spans").to_pylist()]
-                merged = [[{"a": a, "b": b} for a, b in merge_spans(x, y)] for x, y in zip(earlier, spans)]
-                ids = [sorted({*x, *y}) for x, y in zip(batch.column("items").to_pylist(), owned)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c for c in (batch.column("doc_id"), *([batch.column("text")] if len(groups) > 1 else []))),
-                     pa.array(n_words), pa.array(merged, arrow_spans), pa.array(ids, pa.list_(pa.string()))],
-                    names=["doc_id", *(["text"] if len(groups) > 1 else []), "n_words", "spans", "items"],
+                    [batch.column("doc_id"), pa.array(n_words), _arrow_spans(spans), pa.array(owned, pa.list_(pa.string()))], names=names
                 )
 
-        carried = "text string, " if len(groups) > 1 else ""
-        found = found.mapInArrow(search, f"doc_id {kind}, {carried}n_words long, spans {spans_type}, items {empty}")
-    return found.select("doc_id", "n_words", "spans", "items")
+        return narrow.mapInArrow(search, schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            n_words = pa.array([len(words_of(t)) for t in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), n_words], names=["row", "doc_id", "n_words"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = _arrow_spans([_merged(s) for s in batch.column("spans").to_pylist()])
+            owned = pa.array([sorted(set(i or [])) for i in batch.column("items").to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), spans, owned], names=names)
+
+    numbered = store(narrow.withColumn("row", F.monotonically_increasing_id()), "searched")
+    found = items.search(numbered, "row", "text").groupBy("row").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")
+    )
+    counted = numbered.mapInArrow(count, f"row long, doc_id {kind}, n_words long")
+    return counted.join(found, "row", "left").select(*names).mapInArrow(merge, schema)
 
 
 def hit_words(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["b"] - s["a"])
 
 
-def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) -> DataFrame:
+def _remove_in_rounds(docs: DataFrame, items: _Items, text: str) -> DataFrame:
     """remove_passages for several groups of items: a round searches the uncut texts for every
-    group, each task for one, and cuts the merged spans; cut texts meet all groups again."""
+    group and cuts the merged spans; cut texts meet all groups again."""
     row, spans_name, was_cut = (free_name(docs, name) for name in ("__row", "__spans", "__cut"))
-    spans_type, carried = "array<struct<a:int,b:int>>", [row, spans_name]
-    arrow_spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    carried = [row, spans_name]
     schema = docs.select("*", F.lit(True).alias(was_cut)).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +294,7 @@ def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) ->
             for i, found in enumerate(batch.column(spans_name).to_pylist()):
                 hit.append(bool(found))
                 if found:
-                    texts[i] = cut_spans(texts[i], merge_spans([(x["a"], x["b"]) for x in found]))
+                    texts[i] = cut_spans(texts[i], _merged(found))
                 keep.append(not found or WORD.search(texts[i]) is not None)
             at = batch.schema.get_field_index(text)
             batch = batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type)).drop_columns(carried)
@@ -206,18 +303,7 @@ def _remove_in_rounds(docs: DataFrame, groups: list, text: str, window: int) ->
     doubtful, clean = docs, []
     while True:
         numbered = store(doubtful.withColumn(row, F.monotonically_increasing_id()), "uncut")
-        hits = []
-        for name, items in groups:
-            def search(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
-                phrases = _phrases(name, items.value, window)
-                for batch in text_slices(batches, text, SHARD_BYTES):
-                    _, spans, _ = phrases.search(batch.column(text).to_pylist())
-                    found = [[{"a": a, "b": b} for a, b in s] for s in spans if s]
-                    rows = batch.column(row).filter(pa.array([bool(s) for s in spans]))
-                    yield pa.RecordBatch.from_arrays([rows, pa.array(found, arrow_spans)], names=carried)
-
-            hits.append(numbered.select(row, text).mapInArrow(search, f"{row} long, {spans_name} {spans_type}"))
-        found = reduce(DataFrame.unionByName, hits).groupBy(row).agg(F.flatten(F.collect_list(spans_name)).alias(spans_name))
+        found = items.search(numbered, row, text).groupBy(F.col("row").alias(row)).agg(F.flatten(F.collect_list("spans")).alias(spans_name))
         searched = store(numbered.join(found, row, "left").select(*docs.columns, *carried).mapInArrow(cut, schema), "cut")
         clean.append(searched.filter(~F.col(was_cut)).drop(was_cut))
         doubtful = searched.filter(was_cut).drop(was_cut)
@@ -230,26 +316,25 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
     left; a text that was cut and holds no word any more goes with its row. Null, empty and
     wordless texts stay as they are. The number of groups of items changes no result; an
     empty table of items cuts nothing, one of docs gives no row."""
-    groups = list(_groups(benchmark, item, item_text))
-    if len(groups) > 1:
-        return _remove_in_rounds(docs, groups, text, window)
-    cleaned = docs
-    for name, items in groups:
-        def clean(batches: Iterator[pa.RecordBatch], name=name, items=items) -> Iterator[pa.RecordBatch]:
-            phrases = _phrases(name, items.value, window)
-            for batch in text_slices(batches, text, SHARD_BYTES):
-                texts = batch.column(text).to_pylist()
-                keep = np.ones(len(texts), dtype=bool)
-                doubtful = list(range(len(texts)))
-                while doubtful:
-                    _, spans, _ = phrases.search([texts[i] for i in doubtful])
-                    hit = [(i, s) for i, s in zip(doubtful, spans) if s]
-                    for i, s in hit:
-                        texts[i] = cut_spans(texts[i], s)
-                        keep[i] = WORD.search(texts[i]) is not None
-                    doubtful = [i for i, _ in hit]
-                at = batch.schema.get_field_index(text)
-                yield batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
-
-        cleaned = cleaned.mapInArrow(clean, docs.schema)
-    return cleaned
+    items = _Items(benchmark, item, item_text, window)
+    if items.groups > 1:
+        return _remove_in_rounds(docs, items, text)
+    shared = items.shared()
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = _phrases(*shared.value, window)
+        for batch in text_slices(batches, text, SHARD_BYTES):
+            texts = batch.column(text).to_pylist()
+            keep = np.ones(len(texts), dtype=bool)
+            doubtful = list(range(len(texts)))
+            while doubtful:
+                _, spans, _ = phrases.search([texts[i] for i in doubtful])
+                hit = [(i, s) for i, s in zip(doubtful, spans) if s]
+                for i, s in hit:
+                    texts[i] = cut_spans(texts[i], s)
+                    keep[i] = WORD.search(texts[i]) is not None
+                doubtful = [i for i, _ in hit]
+            at = batch.schema.get_field_index(text)
+            yield batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type)).filter(pa.array(keep))
+
+    return docs.mapInArrow(clean, docs.schema)

@@ -20,13 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Writes df once and reads it back: later jobs neither recompute it nor depend on
+def store(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Writes df once, in folders ``by`` columns if any, and reads it back: later jobs neither recompute it nor depend on
     an executor that held it. Who runs the job clears the folder when its result has been
     used; results are read from there."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

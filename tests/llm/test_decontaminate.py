@@ -114,3 +114,33 @@ def test_removal_does_not_depend_on_groups(spark, monkeypatch):
     assert [t.split() for _, t, _ in found[0] if t and t.startswith("head")] == [["head", "tail"]] * 5
     windows = windows_of([(str(i), t) for i, t in enumerate(items)])
     assert not any(brute(t, windows)[1] for _, t, _ in found[0])
+
+
+@pytest.mark.parametrize("group_bytes, stretch", [(1 << 20, 1 << 20), (1 << 20, 40), (2000, 40), (1000, 1 << 20)])
+def test_long_items_are_taken_in_stretches(spark, monkeypatch, group_bytes, stretch):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(12)] + ["Ä", "LONGER-word"]
+    say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(str(i), say(n)) for i, n in enumerate((3, 10, 11, 19, 20, 21, 60, 300))] + [("7", say(30)), ("8", "?" * 90), ("1", None)]
+    items += [items[6], items[6], ("one more", items[6][1])]
+    pick = lambda t, n: " ".join(t.split()[n: n + rng.randint(8, 25)])
+    texts = [f"{say(4)} {pick(rng.choice(items[:8])[1], rng.randrange(40))} {say(5)}" for _ in range(40)] + [items[7][1], items[3][1], None, "", "?"]
+    monkeypatch.setattr(dc, "GROUP_BYTES", group_bytes)
+    monkeypatch.setattr(dc, "STRETCH_BYTES", stretch)
+    benchmark = spark.createDataFrame(items, "item_id string, text string").repartition(3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    kept = dc._Items(benchmark, "item_id", "text", 10)
+    assert (kept.groups > 1) == (group_bytes < 1 << 20)
+    if stretch == 40:
+        groups = [kept.shared(g).value[1] for g in range(kept.groups)]
+        assert all(sum(len(t.encode()) + 50 for _, t in g) <= 2 * max(group_bytes, stretch) or len(g) == 1 for g in groups)
+    windows = windows_of([(i, t) for i, t in items if t])
+    found = dc.find_passages(docs, benchmark).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert (r.n_words, sum(s.b - s.a for s in r.spans), r["items"]) == brute(texts[r.doc_id], windows)
+    cleaned = {r.doc_id: r.text for r in dc.remove_passages(docs, benchmark).collect()}
+    assert not any(brute(t, windows)[1] for t in cleaned.values())
+    for i, t in enumerate(texts):  # texts without hits stay
+        if not brute(t, windows)[1]:
+            assert cleaned[i] == t
