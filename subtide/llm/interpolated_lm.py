@@ -26,7 +26,7 @@ from subtide.llm.pieces import text_slices
 from subtide.llm.scratch import partitions_for, store
 
 ORDER = 2
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000  # a batch's arrays, some ten of 8 bytes a token, in each of an executor's Python workers at once
 RANGE_ENTRIES = 2_000_000  # about so many entries of a range of hashes meet in one task
 DEV_SHARE = 16  # one training document in so many is held out of the counts for the weights
 BINS = 8  # of a frequency's logarithm to base 2, in the events that EM sees

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from subtide.llm import interpolated_lm as lm
 
@@ -92,3 +93,12 @@ def test_buckets_without_events_have_the_nearest_weight():
     assert weights[1, 0] == 0
     assert (weights[1, 1:4] == weights[1, 3]).all() and (weights[1, 4:7] == weights[1, 4]).all() and (weights[1, 7:] == weights[1, 9]).all()
     assert len(set(weights[1, [3, 4, 9]])) == 3 and 0.5 not in weights[1, [3, 4, 9]]
+
+
+def test_a_batch_is_bounded(spark):
+    """Each of an executor's Python workers holds one batch at a time in all its arrays."""
+    words = " ".join(["a b c d"] * 25_000)
+    docs = spark.createDataFrame([(i, words) for i in range(12)], "doc_id long, text string").coalesce(1)
+    staged = lm._batches(docs.select("doc_id", F.lit(True).alias("train"), F.lit(False).alias("dev"), "text"), "bigint")
+    sizes = [r.tokens for r in staged.collect()]
+    assert sum(sizes) == 12 * 100_001 and max(sizes) <= 500_000 + 100_001
