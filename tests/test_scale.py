@@ -78,6 +78,22 @@ def test_first_within_days_equals_pairing(spark, seed):
     assert got == expected
 
 
+def test_first_within_days_tasks_grow_with_rows(spark, monkeypatch):
+    """A task sorts a bounded number of rows, however many shuffle partitions the session has."""
+    from subtide.operators import joins
+
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 10)
+    opens = [(f"k{i % 7}", i * 600) for i in range(100)]
+    hits = [(f"k{i % 7}", i * 600 + 30) for i in range(100)]
+    df = first_within_days(
+        timed_rows(spark, opens, ("k", "o")), timed_rows(spark, hits, ("k", "h")), "k", "o", "h", 7, "first"
+    )
+    assert df.rdd.getNumPartitions() >= 20
+    base = timed_rows(spark, [("x", 0)], ("k", "t")).first().t
+    got = {r.k: int((r["first"] - base).total_seconds()) // 60 for r in df.collect()}
+    assert got == {f"k{j}": j * 600 + 30 for j in range(7)}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_left_join_from_equals_nested_loops(spark, seed):
     rng = random.Random(seed)
